@@ -9,21 +9,23 @@ Two sets of roles, each over whole tables:
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.dates import day_number, shifted, to_weekday
 from ebbtide.operators.dedup import last_wins
-from ebbtide.operators.merge import merge_days
-from ebbtide.plans.normalise import MEASURES
+from ebbtide.operators.merge import MEASURES, merge_day, merge_days
 
 # The reference day of the line-item movers; all their baselines have data.
 LINEITEM_DAY = dt.date(2001, 10, 16)
 PERIODS = ("latest", "day", "week", "month", "year")
 
 
+@functools.lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is read from the files once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -69,7 +71,10 @@ def event_reports(
 def event_positions(
     spark: SparkSession, sf_dir: str, days: list[Column] | None = None
 ) -> DataFrame:
-    reports = event_reports(spark, sf_dir, days)
+    return _latest_events(event_reports(spark, sf_dir, days))
+
+
+def _latest_events(reports: DataFrame) -> DataFrame:
     return last_wins(reports, ["code", "date"], ["event_id"], MEASURES)
 
 
@@ -102,7 +107,10 @@ def lineitem_reports(
 def lineitem_positions(
     spark: SparkSession, sf_dir: str, days: list[Column] | None = None
 ) -> DataFrame:
-    reports = lineitem_reports(spark, sf_dir, days)
+    return _latest_lineitems(lineitem_reports(spark, sf_dir, days))
+
+
+def _latest_lineitems(reports: DataFrame) -> DataFrame:
     order = ["percent", "total", "l_linenumber"]
     return last_wins(reports, ["code", "date"], order, MEASURES)
 
@@ -117,23 +125,23 @@ def event_snapshots(
     spark: SparkSession, sf_dir: str, days: list[Column] | None = None
 ) -> DataFrame:
     """Every code on every day (or on those of ``days``) that has events."""
+    reports = event_reports(spark, sf_dir, days)
     return merge_days(
-        event_codes(spark, sf_dir),
-        event_positions(spark, sf_dir, days),
-        event_reports(spark, sf_dir, days).select("date"),
+        event_codes(spark, sf_dir), _latest_events(reports), reports.select("date")
     )
 
 
 def event_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every code on the last day."""
-    return event_snapshots(spark, sf_dir, [F.lit(event_day(spark, sf_dir))])
+    day = event_day(spark, sf_dir)
+    positions = event_positions(spark, sf_dir, [F.lit(day)])
+    return merge_day(event_codes(spark, sf_dir), positions, int(f"{day:%Y%m%d}"))
 
 
 def lineitem_snapshots(
     spark: SparkSession, sf_dir: str, days: list[Column] | None = None
 ) -> DataFrame:
+    reports = lineitem_reports(spark, sf_dir, days)
     return merge_days(
-        lineitem_codes(spark, sf_dir),
-        lineitem_positions(spark, sf_dir, days),
-        lineitem_reports(spark, sf_dir, days).select("date"),
+        lineitem_codes(spark, sf_dir), _latest_lineitems(reports), reports.select("date")
     )

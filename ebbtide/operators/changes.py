@@ -11,27 +11,23 @@ from ebbtide.functions.numbers import widened
 HORIZONS = ("day", "week", "month", "year")
 
 
-def on_anchor_days(snapshots: DataFrame, as_of: Day) -> DataFrame:
-    """Only the rows of the five days compared; prunes date partitions."""
-    return snapshots.where(F.col("date").isin(list(anchor_numbers(as_of).values())))
-
-
 def changes(snapshots: DataFrame, as_of: Day) -> DataFrame:
     """Per code of the latest day: latest minus each baseline, NULL without one.
 
     ``snapshots`` is unique on ``(code, date)``. One pass over the five days and
     one aggregation stand for the four outer joins of the latest day with its
-    baselines.
+    baselines; the filter on ``date`` prunes partitions.
     """
     anchors = anchor_numbers(as_of)
+    date = F.col("date")
     percent = widened(F.col("percent"), snapshots.schema["percent"].dataType)
     on_day = [
-        F.max(F.when(F.col("date") == anchor, percent)).alias(period)
+        F.max(F.when(date == anchor, percent)).alias(period)
         for period, anchor in anchors.items()
     ]
-    listed = F.max(F.col("date") == anchors["latest"]).alias("listed")
+    listed = F.max(date == anchors["latest"]).alias("listed")
     return (
-        on_anchor_days(snapshots, as_of)
+        snapshots.where(date.isin(list(anchors.values())))
         .groupBy("code")
         .agg(listed, *on_day)
         .where("listed")

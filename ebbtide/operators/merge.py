@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SNAPSHOT_COLUMNS = ("date", "code", "name", "shorts", "total", "percent", "industry")
 
 
+MEASURES = ("shorts", "total", "percent")
+
+
+def merge_day(codes: DataFrame, positions: DataFrame, date: Column | int) -> DataFrame:
+    """Every code on the one day ``date``, zero where it has no position.
+
+    Both sides are unique on ``code``, ``positions`` holds that day only, and the
+    day has a report: without one there is nothing to merge.
+    """
+    return (
+        codes.select("code", "name", "industry")
+        .join(positions.select("code", *MEASURES), "code", "left")
+        .withColumns({name: F.coalesce(name, F.lit(0)) for name in MEASURES})
+        .withColumn("date", F.lit(date).cast("int"))
+        .select(*SNAPSHOT_COLUMNS)
+    )
+
+
 def merge_days(codes: DataFrame, positions: DataFrame, days: DataFrame) -> DataFrame:
     """Every code on every day of ``days``, zero where it has no position.
 
@@ -18,19 +36,18 @@ def merge_days(codes: DataFrame, positions: DataFrame, days: DataFrame) -> DataF
     the days missing from it are filled in while the array is unnested, so names
     and zeros are never shuffled.
     """
-    measures = ("shorts", "total", "percent")
     point = T.StructType(
         [T.StructField("date", T.IntegerType())]
-        + [T.StructField(name, positions.schema[name].dataType) for name in measures]
+        + [T.StructField(name, positions.schema[name].dataType) for name in MEASURES]
     )
     series = positions.groupBy("code").agg(
-        F.collect_list(F.struct("date", *measures).cast(point)).alias("points")
+        F.collect_list(F.struct("date", *MEASURES).cast(point)).alias("points")
     )
     all_days = days.select(F.col("date").cast("int")).distinct().agg(F.collect_list("date"))
 
     def zero(day):
         fields = [day.alias("date")] + [
-            F.lit(0).cast(point[name].dataType).alias(name) for name in measures
+            F.lit(0).cast(point[name].dataType).alias(name) for name in MEASURES
         ]
         return F.struct(*fields).cast(point)
 

@@ -57,7 +57,8 @@ def ordered_movers(
         change = F.coalesce(F.col("change"), F.lit(NO_BASELINE))
         side_by_side.append(F.max(F.when(here, F.col("code"))).alias(f"{h.title()}Code"))
         side_by_side.append(F.max(F.when(here, change)).alias(f"{h.title()}Change"))
-    return ranked.groupBy("Position").agg(*side_by_side).orderBy("Position")
+    # There are no more rows than ranks, so sorting them takes no range exchange.
+    return ranked.groupBy("Position").agg(*side_by_side).orderBy("Position").limit(ranks)
 
 
 def create_anchor_views(snapshots: DataFrame, as_of: Day) -> dict[str, DataFrame]:

@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.dates import Day, day_number
 from ebbtide.operators.dedup import last_wins
-from ebbtide.operators.merge import merge_days
+from ebbtide.operators.merge import MEASURES, merge_day, merge_days
 from ebbtide.sources import lines, reports
 
-MEASURES = ("shorts", "total", "percent")
-
 
 def latest_listing(rows: DataFrame, order: tuple[str, ...] = lines.LINE_ORDER) -> DataFrame:
     """One row per code, the last one listed."""
@@ -50,6 +48,18 @@ def normalise_folder(
     return merge_days(codes, latest_positions(rows), days)
 
 
+def normalise_day(
+    spark: SparkSession, listing_path: str, reports_root: str, day: str
+) -> DataFrame | None:
+    """One ``yyyymmdd`` day of a landing folder; None if its report is not there."""
+    path = reports.report_path(reports_root, day)
+    if not lines.exists(spark, path):
+        return None
+    codes = latest_listing(reports.listing(lines.read_lines(spark, listing_path)))
+    positions = latest_positions(reports.read_positions(spark, path))
+    return merge_day(codes, positions, int(day))
+
+
 def last_day(snapshots: DataFrame) -> DataFrame:
     """One row: the greatest ``date``, NULL without any."""
     return snapshots.agg(F.max("date").alias("date"))

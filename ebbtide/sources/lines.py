@@ -66,6 +66,11 @@ def newest_change(lines: DataFrame) -> DataFrame:
     )
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(file)
+
+
 def file_list(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Path and size of every file, empty ones included; no content is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
