@@ -119,26 +119,38 @@ def scan_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.after(series_table(spark, sf_dir), "Date", low)
 
 
-def _top_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _top_series(spark: SparkSession, sf_dir: str, ranked, series) -> DataFrame:
+    count = queries.row_count("100", most=None)
     return queries.top_series(
-        ranked_table(spark, sf_dir),
-        series_table(spark, sf_dir),
-        queries.row_count("100", most=None),
-        "month",
-        inputs.event_day(spark, sf_dir),
+        ranked, series, count, "month", inputs.event_day(spark, sf_dir)
     )
 
 
-def top_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _points(per_code: DataFrame) -> DataFrame:
     """One row per point, with its place in the series."""
-    return _top_series(spark, sf_dir).select("Code", F.posexplode("series")).select(
+    return per_code.select("Code", F.posexplode("series")).select(
         "Code", "pos", "col.Date", "col.Percent"
     )
 
 
+def top_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The series of the leading codes, straight from the normalised days."""
+    ranked = rankings.leading_codes(inputs.event_snapshot(spark, sf_dir), 100)
+    series = keyed.stored_rows(rankings.series_rows(inputs.event_snapshots(spark, sf_dir)))
+    return _points(_top_series(spark, sf_dir, ranked, series))
+
+
+def top_series_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the stored ranking and time series."""
+    ranked, series = ranked_table(spark, sf_dir), series_table(spark, sf_dir)
+    return _points(_top_series(spark, sf_dir, ranked, series))
+
+
 def top_series_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole answer as one JSON object, read back as rows."""
-    answer = queries.as_json(queries.series_map(_top_series(spark, sf_dir)))
+    ranked, series = ranked_table(spark, sf_dir), series_table(spark, sf_dir)
+    per_code = _top_series(spark, sf_dir, ranked, series)
+    answer = queries.as_json(queries.series_map(per_code))
     shape = "struct<series:map<string,array<struct<Date:int,Percent:double>>>>"
     return (
         answer.select(F.from_json("json", shape).alias("answer"))
@@ -283,6 +295,7 @@ QUERIES = {
     ),
     "scan_after": (scan_after, SERIES + f" WHERE date > {_WEEK_START}"),
     "top_series": (top_series, TOP_SERIES),
+    "top_series_stored": (top_series_stored, TOP_SERIES),
     "top_series_json": (
         top_series_json,
         f'SELECT "Code", "Date", "Percent" FROM ({TOP_SERIES}) t',

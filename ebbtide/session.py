@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the session names it.
@@ -15,16 +17,15 @@ def shared_folder(spark: SparkSession) -> str:
     driver and executors are one process, may fall back to a temporary folder.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir")
-    if folder:
-        return folder
-    if context.getCheckpointDir() is not None:
-        return context.getCheckpointDir()
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="ebbtide-")
-    context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="ebbtide-")
+        spark.conf.set(CHECKPOINT_DIR, folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
