@@ -33,7 +33,7 @@ def by_keys(table: DataFrame, key: str, values: Sequence | DataFrame) -> DataFra
         values = spark.createDataFrame(
             [(value,) for value in values], f"`{key}` {table.schema[key].dataType.simpleString()}"
         )
-    return table.join(values.select(key), key, "left_semi")
+    return table.join(values.select(key), key, "left_semi").select(*table.columns)
 
 
 def in_range(

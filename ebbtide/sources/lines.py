@@ -8,6 +8,8 @@ within the split.
 from __future__ import annotations
 
 import datetime as dt
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,12 +73,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(file)
 
 
-def file_list(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Path and size of every file, empty ones included; no content is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(
-        F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified")
-    )
+def _files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+
+
+def file_names(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Every file, empty ones included, from the listing a scan starts with."""
+    return [_plain(name) for name in _files(spark, path).inputFiles()]
+
+
+def _plain(name: str) -> str:
+    """One spelling of a file name; local ones come with one slash or three."""
+    return re.sub("^file:/+", "file:/", unquote(name))
+
+
+def empty_file_names(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files without content, which scans pass over."""
+    files = _files(spark, path)
+    filled = {_plain(row[0]) for row in files.select("_metadata.file_path").collect()}
+    return [name for name in file_names(spark, path) if name not in filled]
 
 
 def skip_preamble(lines: DataFrame, preamble: int = PREAMBLE_LINES) -> DataFrame:
@@ -116,6 +131,12 @@ def delimited_rows(lines: DataFrame, separator: str = ",") -> DataFrame:
     )
 
 
+def name_number(name: str, pattern: str) -> int | None:
+    """The integer a file name carries, None if the pattern does not match."""
+    match = re.search(pattern, name)
+    return int(match[1]) if match else None
+
+
 def path_number(column: Column, pattern: str) -> Column:
     """The integer a file path carries, NULL if the pattern does not match."""
     return F.regexp_extract(column, pattern, 1).try_cast("int")

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.numbers import parse_float, parse_long
 from ebbtide.functions.text import split_fields
-from ebbtide.sources.lines import LINE_ORDER, clean, file_list, path_number, read_lines
+from ebbtide.sources.lines import (
+    LINE_ORDER,
+    clean,
+    file_names,
+    name_number,
+    path_number,
+    read_lines,
+)
 
 # Fixed value: how a report file carries its day.
 REPORT_FILE = r"RR(\d{8})-001-SSDailyAggShortPos\.csv$"
@@ -84,8 +91,12 @@ def report_days(
     spark: SparkSession, path: str | list[str], file_pattern: str = REPORT_FILE
 ) -> DataFrame:
     """The days that have a report file, even one without a valid line."""
-    day = path_number(F.col("file"), file_pattern)
-    return file_list(spark, path).select(day.alias("date")).where("date is not null").distinct()
+    names = file_names(spark, path)
+    return days_of(spark, {name_number(name, file_pattern) for name in names} - {None})
+
+
+def days_of(spark: SparkSession, numbers: set[int]) -> DataFrame:
+    return spark.createDataFrame([(number,) for number in sorted(numbers)], "date int")
 
 
 def read_positions(

@@ -13,8 +13,15 @@ from ebbtide.plans.normalise import latest_positions
 from ebbtide.sinks.days import write_days
 from ebbtide.sinks.marks import LATEST_DAY, advance_mark
 from ebbtide.sinks.records import keyed_records
-from ebbtide.sources.lines import LINE_ORDER, file_list, path_number
-from ebbtide.sources.reports import REPORT_FILE, read_positions
+from ebbtide.sources.lines import (
+    LINE_ORDER,
+    empty_file_names,
+    exists,
+    file_names,
+    name_number,
+    path_number,
+)
+from ebbtide.sources.reports import REPORT_FILE, days_of, read_positions
 
 # File names a micro-batch hands to its batch job.
 FILES_PER_BATCH = 1000
@@ -23,7 +30,7 @@ FILES_PER_BATCH = 1000
 def arriving_files(
     spark: SparkSession, landing: str, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """Paths of files as they arrive, empty files included; no content is read."""
+    """Paths of files as they arrive; no content is read."""
     return (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
@@ -34,6 +41,15 @@ def arriving_files(
     )
 
 
+def _stored_days(spark: SparkSession, day_table: str, numbers: set[int | None]) -> set[int]:
+    """Those of ``numbers`` the table has; reads their partitions alone."""
+    wanted = [number for number in numbers if number is not None]
+    if not wanted or not exists(spark, day_table):
+        return set()
+    stored = spark.read.parquet(day_table).where(F.col("date").isin(wanted))
+    return {row["date"] for row in stored.select("date").distinct().collect()}
+
+
 def ingest_reports(
     spark: SparkSession,
     landing: str,
@@ -50,21 +66,23 @@ def ingest_reports(
 
     A day is written whole, from all files landed for it so far, and the mark moves
     after its data, so a batch that is run again after a failure ends in the same
-    tables. ``then`` gets the stored rows of each batch's days.
+    tables. Scans pass over empty files, so the days of those are looked up in the
+    listing: an empty report still makes a day of zeros. ``then`` gets the stored rows of each batch's days.
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
-        # File names only: those of the days that at most files_per_batch files name.
-        new = batch.select(path_number(F.col("path"), file_pattern).alias("date"))
-        numbers = [row["date"] for row in new.where("date is not null").distinct().collect()]
+        # Days and file names only, of at most files_per_batch new files.
+        arrived = batch.select(path_number(F.col("path"), file_pattern).alias("date"))
+        numbers = {row["date"] for row in arrived.distinct().collect()}
+        empty = {name_number(n, file_pattern) for n in empty_file_names(spark, landing)}
+        numbers |= empty - _stored_days(spark, day_table, empty)
+        numbers.discard(None)
         if not numbers:
             return
-        landed = file_list(spark, landing).withColumn(
-            "date", path_number(F.col("file"), file_pattern)
-        )
-        paths = [row["file"] for row in landed.where(F.col("date").isin(numbers)).collect()]
-        days = spark.createDataFrame([(number,) for number in numbers], "date int")
+        names = file_names(spark, landing)
+        paths = [name for name in names if name_number(name, file_pattern) in numbers]
+        days = days_of(spark, numbers)
         rows = read_positions(spark, paths, file_pattern)
         write_days(merge_days(codes(), latest_positions(rows, order), days), day_table)
         advance_mark(spark, marks, LATEST_DAY, max(numbers))
