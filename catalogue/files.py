@@ -186,7 +186,7 @@ def delimited_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DELIMITED = """SELECT cast(o_orderkey AS varchar) AS first,
     string_split(o_orderpriority, ' ')[-1] AS last,
-    2 + len(string_split(o_orderpriority, ' ')) AS n_fields FROM orders"""
+    cast(2 + len(string_split(o_orderpriority, ' ')) AS integer) AS n_fields FROM orders"""
 
 
 def snapshot_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.dates import Day, day_number
+from ebbtide.operators.changes import changes
 from ebbtide.plans import movers, rankings
 from ebbtide.plans.normalise import last_day, normalise_folder
 from ebbtide.sinks.days import write_days
@@ -57,11 +58,14 @@ def ingest_movers(
     coded_table: str,
     merge: bool = False,
 ) -> None:
-    """Write both movement tables."""
-    ordered = movers.ordered_movers(snapshots, as_of)
-    coded = movers.coded_movers(snapshots, as_of)
-    _store(stored_rows(ordered), ordered_table, "Position", merge)
-    _store(stored_rows(coded), coded_table, "Code", merge)
+    """Write both movement tables from one pass over the snapshots."""
+    wide = changes(snapshots, as_of).persist()
+    try:
+        ordered, coded = movers.ordered_changes(wide), movers.coded_changes(wide)
+        _store(stored_rows(ordered), ordered_table, "Position", merge)
+        _store(stored_rows(coded), coded_table, "Code", merge)
+    finally:
+        wide.unpersist()
 
 
 def _store(rows: DataFrame, table: str, key: str, merge: bool) -> None:

@@ -21,7 +21,12 @@ CODED_COLUMNS = ["Code"] + [f"{h.title()}Change" for h in HORIZONS]
 
 def coded_movers(snapshots: DataFrame, as_of: Day) -> DataFrame:
     """The four changes of every code listed on the latest day."""
-    return changes(snapshots, as_of).select(
+    return coded_changes(changes(snapshots, as_of))
+
+
+def coded_changes(wide: DataFrame) -> DataFrame:
+    """Changes per code as the report shows them."""
+    return wide.select(
         F.col("code").alias("Code"),
         *[
             F.coalesce(F.col(h), F.lit(NO_BASELINE)).alias(f"{h.title()}Change")
@@ -36,7 +41,14 @@ def ordered_movers(
     ranks: int = REPORTED_RANKS,
     largest_first: bool = False,
 ) -> DataFrame:
-    """Four rankings of all codes by size of change, side by side by rank.
+    """Four rankings of all codes by size of change, side by side by rank."""
+    return ordered_changes(changes(snapshots, as_of), ranks, largest_first)
+
+
+def ordered_changes(
+    wide: DataFrame, ranks: int = REPORTED_RANKS, largest_first: bool = False
+) -> DataFrame:
+    """Changes per code ranked within each horizon, one row per rank.
 
     The smallest change comes first unless ``largest_first``; codes without a
     baseline come last. The wide table of changes is read once for all four
@@ -46,8 +58,7 @@ def ordered_movers(
     by_size = size.desc_nulls_last() if largest_first else size.asc_nulls_last()
     within = Window.partitionBy("horizon").orderBy(by_size, "code")
     ranked = (
-        changes(snapshots, as_of)
-        .unpivot(["code"], list(HORIZONS), "horizon", "change")
+        wide.unpivot(["code"], list(HORIZONS), "horizon", "change")
         .withColumn("Position", F.row_number().over(within))
         .where(F.col("Position") <= ranks)
     )

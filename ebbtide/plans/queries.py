@@ -81,7 +81,7 @@ def top_movers(
     decoded |= {name: F.when(all_codes, value).otherwise("") for name, value in codes.items()}
     names = ["order"] + [f"{h}{part}" for h in HORIZONS for part in ("Code", "Change")]
     return (
-        ordered.where(F.col("Position") <= last)
+        ordered.where(numbers["order"] <= last)
         .select([decoded[name].alias(name) for name in names])
         .orderBy("order")
     )
@@ -129,9 +129,8 @@ def series_points(
     percent = F.coalesce(_number(series, "Percent").cast("double"), F.lit(0.0))
     date = _number(series, "Date", parse_long).cast("int")
     return (
-        series.where(F.col("Date").between(low, high))
+        series.where(date.between(low, high))
         .select("Code", date.alias("Date"), percent.alias("Percent"))
-        .where(F.col("Date").isNotNull())
         .join(codes, "Code", "left_semi")
     )
 

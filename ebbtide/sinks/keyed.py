@@ -43,6 +43,15 @@ def replace(df: DataFrame, root: str) -> None:
     df.write.mode("overwrite").parquet(f"{root}/v{number}")
 
 
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Delete all finished versions but the newest ``keep``."""
+    jvm = spark.sparkContext._jvm
+    for number in _versions(spark, root)[: -max(keep, 1)]:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{root}/v{number}")
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(folder, True)
+
+
 def upserted(current: DataFrame | None, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` and the rows of ``current`` whose key it does not have."""
     if current is None:

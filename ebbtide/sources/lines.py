@@ -98,7 +98,9 @@ def skip_preamble(lines: DataFrame, preamble: int = PREAMBLE_LINES) -> DataFrame
     """Lines of each file without its first few and without an unended last one.
 
     The lines are stored first: the per-file facts and the lines they are joined
-    with have to come from one numbering.
+    with have to come from one numbering. The facts are one row per file, no more
+    than the listing the driver holds, and are broadcast, so the lines of a large
+    file stay spread out.
     """
     lines = materialise(lines)
     place = F.struct("block", "seq")
@@ -110,7 +112,7 @@ def skip_preamble(lines: DataFrame, preamble: int = PREAMBLE_LINES) -> DataFrame
     in_preamble = (F.col("block") == 0) & (F.col("seq") < F.col("first_seq") + preamble)
     unended = F.col("open_end") & (place == F.col("last_place"))
     return (
-        lines.join(files, "file")
+        lines.join(F.broadcast(files), "file")
         .where(~in_preamble & ~unended)
         .select(*lines.columns)
     )

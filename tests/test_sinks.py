@@ -69,6 +69,9 @@ def test_keyed_tables(spark, tmp_path, rows_of):
     assert rows_of(before) == [(0, "A", 1.0), (1, "B", 0.5)]
     keyed.replace(spark.createDataFrame([(0, "E", 3.0)], RANKED), root)
     assert rows_of(keyed.read_table(spark, root)) == [(0, "E", 3.0)]
+    keyed.drop_old_versions(spark, root, keep=2)
+    assert sorted(p.name for p in (tmp_path / "ranked").iterdir()) == ["v2", "v3"]
+    assert rows_of(keyed.read_table(spark, root)) == [(0, "E", 3.0)]
 
 
 def test_an_unfinished_version_does_not_count(spark, tmp_path, rows_of):
