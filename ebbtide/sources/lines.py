@@ -68,6 +68,16 @@ def newest_change(lines: DataFrame) -> DataFrame:
     )
 
 
+def modified_at(spark: SparkSession, path: str) -> dt.datetime | None:
+    """When a file was last modified, to the second; None if it is not there."""
+    if not exists(spark, path):
+        return None
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    seconds = files.getFileStatus(file).getModificationTime() // 1000
+    return dt.datetime.fromtimestamp(seconds, dt.UTC)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(file)
