@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from catalogue import inputs, sql
 from ebbtide.operators.merge import merge_days
+from ebbtide.plans.movers import run_sql
 from ebbtide.plans.normalise import land_lines, latest_listing, latest_positions
 from ebbtide.schemas import LISTING
 from ebbtide.session import scratch_path
@@ -196,6 +197,25 @@ def snapshot_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.read_documents(spark, path, DOCUMENT, r"date=(\d{8})/")
 
 
+def document_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL that unnests the documents of the line-item days, day by day."""
+    path = scratch_path(spark, "documents")
+    days = inputs.anchor_days(inputs.LINEITEM_DAY)
+    write_documents(inputs.lineitem_snapshots(spark, sf_dir, days), path, 10_000)
+    snapshots.create_document_view(spark, path, "daily_documents", DOCUMENT)
+    return run_sql(
+        spark,
+        r"""SELECT regexp_extract(path, r'date=(\d*)(?=/)', 1) AS dateTime,
+            stock.code AS code, stock.percent AS percent
+        FROM daily_documents LATERAL VIEW explode(result) t AS stock""",
+    )
+
+
+DOCUMENT_VIEW = f"""SELECT cast(date AS varchar) AS "dateTime", code, percent
+    FROM ({sql.LINEITEM_SNAPSHOTS}) s WHERE date IN (
+    {', '.join(sql.anchor(p, sql.LINEITEM_DAY) for p in inputs.PERIODS)})"""
+
+
 def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers as files with one JSON array each, read back as rows."""
     path = scratch_path(spark, "arrays")
@@ -300,6 +320,7 @@ QUERIES = {
     "preamble_skip": (preamble_skip, LISTED),
     "delimited_rows": (delimited_rows, DELIMITED),
     "snapshot_unnest": (snapshot_unnest, sql.EVENT_SNAPSHOTS),
+    "document_view_sql": (document_view_sql, DOCUMENT_VIEW),
     "json_array_scan": (json_array_scan, sql.EVENT_CODES),
     "normalise_from_files": (normalise_from_files, FROM_FILES),
     "incremental_ingest": (

@@ -131,6 +131,16 @@ def event_snapshots(
     )
 
 
+def event_snapshots_of(spark: SparkSession, sf_dir: str, chosen: DataFrame) -> DataFrame:
+    """The codes in ``chosen``, a short list, on every day that has events."""
+    reports, few = event_reports(spark, sf_dir), F.broadcast(chosen.select("code"))
+    return merge_days(
+        event_codes(spark, sf_dir).join(few, "code", "left_semi"),
+        _latest_events(reports.join(few, "code", "left_semi")),
+        reports.select("date"),
+    )
+
+
 def event_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every code on the last day."""
     day = event_day(spark, sf_dir)

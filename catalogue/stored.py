@@ -134,9 +134,14 @@ def _points(per_code: DataFrame) -> DataFrame:
 
 
 def top_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The series of the leading codes, straight from the normalised days."""
+    """The series of the leading codes, straight from the reports.
+
+    Reports of other codes are left out before they are merged.
+    """
     ranked = rankings.leading_codes(inputs.event_snapshot(spark, sf_dir), 100)
-    series = keyed.stored_rows(rankings.series_rows(inputs.event_snapshots(spark, sf_dir)))
+    chosen = ranked.select(F.col("Code").alias("code"))
+    days = inputs.event_snapshots_of(spark, sf_dir, chosen)
+    series = keyed.stored_rows(rankings.series_rows(days))
     return _points(_top_series(spark, sf_dir, ranked, series))
 
 
@@ -150,15 +155,21 @@ def top_series_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole answer as one JSON object, read back as rows."""
     ranked, series = ranked_table(spark, sf_dir), series_table(spark, sf_dir)
     per_code = _top_series(spark, sf_dir, ranked, series)
-    answer = queries.as_json(queries.series_map(per_code))
-    shape = "struct<series:map<string,array<struct<Date:int,Percent:double>>>>"
+    shape = "map<string,array<struct<Date:int,Percent:double>>>"
     return (
-        answer.select(F.from_json("json", shape).alias("answer"))
-        .select(F.explode("answer.series").alias("Code", "points"))
+        queries.series_json(per_code)
+        .select(F.explode(F.from_json("json", shape)).alias("Code", "points"))
         .select("Code", F.inline("points"))
     )
 
 
+def top_shorts_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leading codes as one JSON array, read back as rows with their place in it."""
+    answer = queries.answer_json(top_shorts_query(spark, sf_dir))
+    shape = "array<struct<position:bigint,code:string,percent:double>>"
+    return answer.select(F.posexplode(F.from_json("json", shape))).select("pos", "col.*")
+
+
 TOP_SERIES = f"""WITH snap AS MATERIALIZED ({sql.EVENT_SNAPSHOTS}),
     top AS (SELECT code FROM snap WHERE date = {sql.number(sql.EVENT_DAY)}
         ORDER BY percent DESC, code LIMIT 100)
@@ -300,6 +311,11 @@ QUERIES = {
         top_series_json,
         f'SELECT "Code", "Date", "Percent" FROM ({TOP_SERIES}) t',
     ),
+    "top_shorts_json": (
+        top_shorts_json,
+        f"""SELECT cast("Position" AS integer) AS pos, "Position" AS position, "Code" AS code,
+        "Percent" AS percent FROM ({RANKED_STORED}) t WHERE "Position" < 100""",
+    ),
     "snapshot_roundtrip": (snapshot_roundtrip, sql.EVENT_SNAPSHOTS),
     "upsert_time_series": (upsert_time_series, UPSERTED),
     "ranked_replace": (ranked_replace, SHORTER),

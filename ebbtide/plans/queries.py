@@ -168,6 +168,20 @@ def series_map(per_code: DataFrame) -> DataFrame:
     return per_code.agg(F.map_from_entries(entries).alias("series"))
 
 
+def series_json(per_code: DataFrame) -> DataFrame:
+    """One row with :func:`series_map` as one JSON object, code to series."""
+    return series_map(per_code).select(F.to_json("series").alias("json"))
+
+
 def as_json(rows: DataFrame, name: str = "json") -> DataFrame:
     """Each row as one JSON object."""
     return rows.select(F.to_json(F.struct(*rows.columns)).alias(name))
+
+
+def answer_json(rows: DataFrame) -> DataFrame:
+    """One row with a query's rows as one JSON array, in order of the first column.
+
+    For answers of a bounded number of rows, as :func:`row_count` allows.
+    """
+    objects = F.array_sort(F.collect_list(F.struct(*rows.columns)))
+    return rows.agg(F.to_json(objects).alias("json"))

@@ -42,6 +42,20 @@ def read_documents(
     )
 
 
+def create_document_view(
+    spark: SparkSession,
+    path: str | list[str],
+    name: str,
+    schema: T.StructType = SNAPSHOT_DOCUMENT,
+) -> DataFrame:
+    """A view for SQL with each document's ``result`` array and its file ``path``."""
+    documents = _json(spark, path, schema).select(
+        "result", F.col("_metadata.file_path").alias("path")
+    )
+    documents.createOrReplaceTempView(name)
+    return documents
+
+
 def _json(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     return (
         spark.read.schema(schema)

@@ -47,8 +47,8 @@ def test_the_pipeline_from_download_to_answers(desk, tmp_path, rows_of):
         (2, "AAA", -3.0),
         (3, "BBB", 3.0),
     ]
-    answer = queries.as_json(queries.series_map(desk.top_series(TODAY, "1", "MONTH"))).first()[0]
-    assert json.loads(answer)["series"] == {
+    answer = queries.series_json(desk.top_series(TODAY, "1", "MONTH")).first()[0]
+    assert json.loads(answer) == {
         "BBB": [{"Date": 20181008, "Percent": 1.0}, {"Date": 20181009, "Percent": 4.0}]
     }
     for number in ("0", "101", "x"):

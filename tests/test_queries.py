@@ -131,15 +131,15 @@ def test_series_as_json(spark, tmp_path):
     per_code = queries.top_series(
         ranked_table(spark), series_table(spark, tmp_path), 2, "week", AS_OF
     )
-    answer = queries.as_json(queries.series_map(per_code)).first()["json"]
-    assert json.loads(answer) == {
-        "series": {"BBB": [{"Date": 20181009, "Percent": 9.0}], "NONE": []}
-    }
+    answer = queries.series_json(per_code).first()["json"]
+    assert json.loads(answer) == {"BBB": [{"Date": 20181009, "Percent": 9.0}], "NONE": []}
 
 
 def test_rows_as_json(spark):
     answer = queries.as_json(queries.top_shorts(ranked_table(spark), 1)).first()["json"]
     assert json.loads(answer) == {"position": 0, "code": "BBB", "percent": 3.0}
+    whole = queries.answer_json(queries.top_shorts(ranked_table(spark).repartition(4), 3))
+    assert [row["code"] for row in json.loads(whole.first()["json"])] == ["BBB", "NONE", "AAA"]
 
 
 def test_lookups(spark, tmp_path, rows_of, plan_of):
