@@ -130,7 +130,8 @@ LINEITEM_CODED = sql.coded_movers(sql.LINEITEM_SNAPSHOTS, sql.LINEITEM_DAY)
 EVENT_ORDERED = sql.ordered_movers(sql.EVENT_SNAPSHOTS, sql.EVENT_DAY)
 LINEITEM_ORDERED = sql.ordered_movers(sql.LINEITEM_SNAPSHOTS, sql.LINEITEM_DAY)
 POSITIONS_ORDERED = sql.ordered_movers(sql.EVENT_POSITIONS, sql.EVENT_DAY)
-DECODED_ORDERED = f'SELECT * REPLACE (cast("Position" AS bigint) AS "Position") FROM ({POSITIONS_ORDERED}) o'
+DECODED_ORDERED = f"""SELECT * REPLACE (cast("Position" AS bigint) AS "Position")
+    FROM ({POSITIONS_ORDERED}) o"""
 
 QUERIES = {
     "dedup_last_wins": (dedup_last_wins, sql.EVENT_POSITIONS),

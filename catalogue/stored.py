@@ -173,7 +173,8 @@ def top_shorts_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOP_SERIES = f"""WITH snap AS MATERIALIZED ({sql.EVENT_SNAPSHOTS}),
     top AS (SELECT code FROM snap WHERE date = {sql.number(sql.EVENT_DAY)}
         ORDER BY percent DESC, code LIMIT 100)
-    SELECT code AS "Code", cast(row_number() OVER (PARTITION BY code ORDER BY date) - 1 AS integer) AS pos,
+    SELECT code AS "Code",
+        cast(row_number() OVER (PARTITION BY code ORDER BY date) - 1 AS integer) AS pos,
         date AS "Date", round(percent, 6) AS "Percent"
     FROM snap WHERE code IN (SELECT code FROM top) AND date BETWEEN
         {sql.number(sql.shifted('month', sql.EVENT_DAY))} AND {sql.number(sql.EVENT_DAY)}"""

@@ -31,10 +31,10 @@ def merge_days(codes: DataFrame, positions: DataFrame, days: DataFrame) -> DataF
     """Every code on every day of ``days``, zero where it has no position.
 
     ``codes`` is unique on ``code``, ``positions`` on ``(code, date)`` and within
-    ``days``; positions of unknown codes drop out. The join is one per code, not one per code and day:
-    each code meets an array of its positions (at most one per calendar day), and
-    the days missing from it are filled in while the array is unnested, so names
-    and zeros are never shuffled.
+    ``days``; positions of unknown codes drop out. The join is one per code, not one
+    per code and day: each code meets an array of its positions (at most one per
+    calendar day), and the days missing from it are filled in while the array is
+    unnested, so names and zeros are never shuffled.
     """
     point = T.StructType(
         [T.StructField("date", T.IntegerType())]

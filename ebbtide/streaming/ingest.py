@@ -67,7 +67,8 @@ def ingest_reports(
     A day is written whole, from all files landed for it so far, and the mark moves
     after its data, so a batch that is run again after a failure ends in the same
     tables. Scans pass over empty files, so the days of those are looked up in the
-    listing: an empty report still makes a day of zeros. ``then`` gets the stored rows of each batch's days.
+    listing: an empty report still makes a day of zeros. ``then`` gets the stored
+    rows of each batch's days.
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:

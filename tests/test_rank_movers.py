@@ -37,7 +37,8 @@ def test_full_ranking_with_mostly_equal_values(spark):
 def test_full_ranking_is_spread_over_tasks(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        df = spark.range(4000).select(F.lit(0.0).alias("percent"), F.col("id").cast("string").alias("code"))
+        code = F.col("id").cast("string").alias("code")
+        df = spark.range(4000).select(F.lit(0.0).alias("percent"), code)
         ranked = all_ranked(df, [F.desc("percent"), F.asc("code")], "n")
         sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
     finally:
@@ -53,7 +54,7 @@ def test_rankings_of_nothing(spark):
 
 
 def test_top_k_keeps_few_rows_per_task(spark, plan_of):
-    df = spark.range(1000).select(F.col("id").cast("string").alias("code"), F.col("id").cast("double").alias("percent"))
+    df = spark.range(1000).selectExpr("string(id) AS code", "double(id) AS percent")
     assert "TakeOrderedAndProject" in plan_of(rankings.leading_codes(df, 10))
 
 
@@ -167,29 +168,29 @@ CODED_TEXT = ", ".join(f"{name} string" for name in movers.CODED_COLUMNS)
 
 
 def test_decoding_ordered_rows(spark, rows_of):
-    good = ("99", "EXR", "10.1", "MEU", "0.0", "CVF", "0.3", "CSL", "99")
+    good = ("7", "DAA", "2.5", "WBB", "0.0", "MCC", "0.75", "YDD", "31")
     rows = [
         good,
         (None, *good[1:]),
         ("x", *good[1:]),
         (*good[:3], None, *good[4:]),
-        (*good[:2], "asd.1", *good[3:]),
-        ("98", "EXR", None, *good[3:]),
+        (*good[:2], "2.x", *good[3:]),
+        ("6", "DAA", None, *good[3:]),
     ]
     decoded = movers.decode_ordered(spark.createDataFrame(rows, ORDERED_TEXT))
     assert rows_of(decoded) == [
-        (98, "EXR", 0.0, "MEU", 0.0, "CVF", 0.3, "CSL", 99.0),
-        (99, "EXR", 10.1, "MEU", 0.0, "CVF", 0.3, "CSL", 99.0),
+        (6, "DAA", 0.0, "WBB", 0.0, "MCC", 0.75, "YDD", 31.0),
+        (7, "DAA", 2.5, "WBB", 0.0, "MCC", 0.75, "YDD", 31.0),
     ]
 
 
 def test_decoding_coded_rows(spark, rows_of):
     rows = [
-        ("EXR", "10.1", "0.0", "0.3", "1.3"),
-        ("BAD", "", "0.0", "0.3", "1.3"),
-        ("ASD", "1", "asd", "0.3", "1.3"),
+        ("AAA", "2.5", "0.0", "0.75", "1.5"),
+        ("BAD", "", "0.0", "0.75", "1.5"),
+        ("TXT", "1", "two", "0.75", "1.5"),
         (None, "1", "2", "3", "4"),
         ("NUL", None, "2", "3", "4"),
     ]
     decoded = movers.decode_coded(spark.createDataFrame(rows, CODED_TEXT))
-    assert rows_of(decoded) == [("EXR", 10.1, 0.0, 0.3, 1.3), ("NUL", 0.0, 2.0, 3.0, 4.0)]
+    assert rows_of(decoded) == [("AAA", 2.5, 0.0, 0.75, 1.5), ("NUL", 0.0, 2.0, 3.0, 4.0)]

@@ -17,8 +17,8 @@ RANKED = "Position bigint, Code string, Percent double"
 
 def snapshot(spark, day, codes, add=0.0):
     rows = [(f"C{i}", f"n{i}", i, 2 * i, i / 4 + add, "x", day) for i in range(codes)]
-    names = "code string, name string, shorts bigint, total bigint, percent float, industry string, date int"
-    return spark.createDataFrame(rows, names)
+    names = "code string, name string, shorts bigint, total bigint, percent float"
+    return spark.createDataFrame(rows, names + ", industry string, date int")
 
 
 def test_a_day_is_replaced_whole(spark, tmp_path, rows_of):

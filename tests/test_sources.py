@@ -25,8 +25,8 @@ def test_report_rows(spark, tmp_path, rows_of):
         tmp_path,
         "20180925",
         "Product\tProduct Code\tReported\tTotal\t%\n"
-        "PAGE LTD\t1PG\t100\t200\t0.912312\n"
-        "EAGERS LTD\tAPE  \t10\t2000\t0.0003243\n"
+        "NORTH LTD\tNOR\t120\t480\t0.734521\n"
+        "EAST LTD\tEAS  \t11\t2100\t0.0004217\n"
         "a\tb\tc\td\te\n"
         "a\tb\tc\n"
         "a\tb\t1\t2\t3\t4\n"
@@ -37,12 +37,12 @@ def test_report_rows(spark, tmp_path, rows_of):
     landed = lines.read_lines(spark, str(tmp_path))
     found = rows_of(reports.positions(landed), "name", "code", "shorts", "total", "date")
     assert found == [
-        ("EAGERS LTD", "APE", 10, 2000, 20180925),
+        ("EAST LTD", "EAS", 11, 2100, 20180925),
+        ("NORTH LTD", "NOR", 120, 480, 20180925),
         ("OPEN", "OPN", 1, 2, 20180925),
-        ("PAGE LTD", "1PG", 100, 200, 20180925),
     ]
     percents = {r["code"]: r["percent"] for r in reports.positions(landed).collect()}
-    assert percents["1PG"] == pytest.approx(0.912312)
+    assert percents["NOR"] == pytest.approx(0.734521)
     rejected = rows_of(reports.rejected_positions(landed), "line")
     assert len(rejected) == 5
 
@@ -169,7 +169,8 @@ def test_json_arrays(spark, tmp_path, rows_of):
         ("abc", "ABC", 10, 200, 10.5),
         ("def", "DEF", 10, 200, 0.0),
     ]
-    rows = put(tmp_path / "r.json", '[{"code":"T1","name":"t","shorts":0,"total":0,"percent":0,"industry":"i"}]')
+    row = {"code": "T1", "name": "t", "shorts": 0, "total": 0, "percent": 0, "industry": "i"}
+    rows = put(tmp_path / "r.json", json.dumps([row]))
     assert snapshots.read_json_rows(spark, rows, SNAPSHOT_ROW).count() == 1
 
 
