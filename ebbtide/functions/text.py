@@ -3,41 +3,51 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_NUL = "\x00"
 
-def clean_line(line: Column) -> Column:
-    """A line without NUL bytes and without a carriage return at its end."""
-    plain = F.replace(line, F.lit("\x00"), F.lit(""))
-    return F.regexp_replace(plain, r"\r\z", "")
+
+def computed_once(df: DataFrame, kept: Sequence[str], *columns: Column) -> DataFrame:
+    """``kept`` and the new ``columns``, each evaluated once per row.
+
+    The new columns come out of a generator, through which the optimizer does not
+    push filters; a filter on plain computed columns would evaluate them again.
+    """
+    return df.select(*kept, F.inline(F.array(F.struct(*columns))))
+
+
+def without_nul(line: Column) -> Column:
+    return F.replace(line, F.lit(_NUL), F.lit(""))
+
+
+def without_return(line: Column) -> Column:
+    """A line without the carriage return at its end."""
+    cut = line.substr(F.lit(1), F.length(line) - 1)
+    return F.when(line.endswith("\r"), cut).otherwise(line)
 
 
 def split_fields(line: Column, separator: str) -> Column:
-    """Fields of a delimited line; NULL when its quoting is broken.
+    """Fields of a delimited line without NULs; NULL when its quoting is broken.
 
     Lines may have any number of fields. A field that starts with a double quote
     runs to the closing quote, with two quotes standing for one; a quote inside
     an unquoted field is an error.
     """
     sep = re.escape(separator)
-    quoted = r'"[^"]*+(?:""[^"]*+)*+"'
-    field = rf'(?:{quoted}|[^"{sep}][^"{sep}]*+|)'
-    whole = rf"^{field}(?:{sep}{field})*+\z"
-    pieces = F.regexp_extract_all(
-        F.concat(F.lit(separator), line), F.lit(f"{sep}({field})"), F.lit(1)
-    )
-    unquoted = F.transform(
-        pieces,
-        lambda piece: F.when(
-            piece.startswith('"'),
-            F.replace(
-                piece.substr(F.lit(2), F.length(piece) - 2), F.lit('""'), F.lit('"')
-            ),
-        ).otherwise(piece),
+    quoted = r'[^"]*+(?:""[^"]*+)*+'
+    plain = rf'[^"{sep}]*+'
+    field = rf'(?:"{quoted}"|{plain})'
+    # Lines with quotes get NULs for the separators between their fields.
+    well_formed = rf"^{field}(?:{sep}{field})*+\z"
+    marked = F.regexp_replace(
+        F.concat(F.lit(separator), line), rf'{sep}(?:"({quoted})"|({plain}))', f"{_NUL}$1$2"
     )
+    unquoted = F.replace(F.substr(marked, F.lit(2)), F.lit('""'), F.lit('"'))
     return (
         F.when(~F.contains(line, F.lit('"')), F.split(line, sep, -1))
-        .when(line.rlike(whole), unquoted)
+        .when(line.rlike(well_formed), F.split(unquoted, _NUL, -1))
     )

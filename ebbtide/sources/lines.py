@@ -15,7 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.dates import parse_instant
-from ebbtide.functions.text import clean_line, split_fields
+from ebbtide.functions.text import (
+    computed_once,
+    split_fields,
+    without_nul,
+    without_return,
+)
 from ebbtide.session import materialise
 
 # Fixed value: lines ahead of the first record of a downloaded listing.
@@ -130,14 +135,22 @@ def skip_preamble(lines: DataFrame, preamble: int = PREAMBLE_LINES) -> DataFrame
 
 def clean(lines: DataFrame) -> DataFrame:
     """Lines without NUL bytes and carriage returns, empty ones left out."""
-    return lines.withColumn("line", clean_line(F.col("line"))).where("line <> ''")
+    others = [name for name in lines.columns if name != "line"]
+    plain = computed_once(lines, others, without_nul(F.col("line")).alias("line"))
+    ended = computed_once(plain, others, without_return(F.col("line")).alias("line"))
+    return ended.where("line <> ''")
+
+
+def with_fields(lines: DataFrame, separator: str) -> DataFrame:
+    """Clean lines with their array of ``fields``, NULL where quoting is broken."""
+    fields = split_fields(F.col("line"), separator).alias("fields")
+    return computed_once(clean(lines), LINE_ORDER, "line", fields)
 
 
 def delimited_rows(lines: DataFrame, separator: str = ",") -> DataFrame:
     """Records as an array of fields, of any length, with their place."""
     return (
-        clean(lines)
-        .withColumn("fields", split_fields(F.col("line"), separator))
+        with_fields(lines, separator)
         .where("fields is not null")
         .select("fields", *LINE_ORDER)
     )

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.numbers import parse_float, parse_long
-from ebbtide.functions.text import split_fields
+from ebbtide.functions.text import computed_once
 from ebbtide.sources.lines import (
     LINE_ORDER,
-    clean,
     file_names,
     name_number,
     path_number,
     read_lines,
+    with_fields,
 )
 
 # Fixed value: how a report file carries its day.
@@ -23,10 +23,6 @@ LISTING_FIELDS = 3
 POSITION_FIELDS = 5
 
 
-def _fields(lines: DataFrame, separator: str) -> DataFrame:
-    return clean(lines).withColumn("fields", split_fields(F.col("line"), separator))
-
-
 def _field(position: int) -> Column:
     return F.get("fields", F.lit(position))
 
@@ -41,13 +37,14 @@ def rejected_listing(lines: DataFrame) -> DataFrame:
 
 
 def _listing_fields(lines: DataFrame) -> DataFrame:
-    return _fields(lines, ",").select(
+    return computed_once(
+        with_fields(lines, ","),
+        LINE_ORDER,
         "line",
         _field(0).alias("name"),
         _field(1).alias("code"),
         _field(2).alias("industry"),
         F.coalesce(F.size("fields") == LISTING_FIELDS, F.lit(False)).alias("valid"),
-        *LINE_ORDER,
     )
 
 
@@ -69,7 +66,9 @@ def rejected_positions(lines: DataFrame, file_pattern: str = REPORT_FILE) -> Dat
 
 
 def _position_fields(lines: DataFrame, file_pattern: str) -> DataFrame:
-    typed = _fields(lines, "\t").select(
+    typed = computed_once(
+        with_fields(lines, "\t"),
+        LINE_ORDER,
         "line",
         F.size("fields").alias("n_fields"),
         _field(0).alias("name"),
@@ -78,7 +77,6 @@ def _position_fields(lines: DataFrame, file_pattern: str) -> DataFrame:
         parse_long(_field(3)).alias("total"),
         parse_float(_field(4)).alias("percent"),
         path_number(F.col("file"), file_pattern).alias("date"),
-        *LINE_ORDER,
     )
     numeric = (
         F.col("shorts").isNotNull() & F.col("total").isNotNull() & F.col("percent").isNotNull()
