@@ -26,8 +26,11 @@ from ebbtide.session import materialise
 # Fixed value: lines ahead of the first record of a downloaded listing.
 PREAMBLE_LINES = 3
 
-# Where a line stands among all lines read, oldest file first.
-LINE_ORDER = ("modified", "file", "block", "seq")
+# Where a line stands among all lines read, oldest file first. Files of one time come
+# in the order of a number made from their path: paths in the rows to be compared
+# would make the largest part of them.
+LINE_ORDER = ("modified", "file_id", "block", "seq")
+LINE_PLACE = ("file", *LINE_ORDER)
 
 
 def read_lines(
@@ -51,6 +54,7 @@ def read_lines(
     return raw.select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file"),
+        F.xxhash64("_metadata.file_path").alias("file_id"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -144,7 +148,7 @@ def clean(lines: DataFrame) -> DataFrame:
 def with_fields(lines: DataFrame, separator: str) -> DataFrame:
     """Clean lines with their array of ``fields``, NULL where quoting is broken."""
     fields = split_fields(F.col("line"), separator).alias("fields")
-    return computed_once(clean(lines), LINE_ORDER, "line", fields)
+    return computed_once(clean(lines), LINE_PLACE, "line", fields)
 
 
 def delimited_rows(lines: DataFrame, separator: str = ",") -> DataFrame:
@@ -152,7 +156,7 @@ def delimited_rows(lines: DataFrame, separator: str = ",") -> DataFrame:
     return (
         with_fields(lines, separator)
         .where("fields is not null")
-        .select("fields", *LINE_ORDER)
+        .select("fields", *LINE_PLACE)
     )
 
 

@@ -9,6 +9,7 @@ from ebbtide.functions.numbers import parse_float, parse_long
 from ebbtide.functions.text import computed_once
 from ebbtide.sources.lines import (
     LINE_ORDER,
+    LINE_PLACE,
     file_names,
     name_number,
     path_number,
@@ -33,13 +34,13 @@ def listing(lines: DataFrame) -> DataFrame:
 
 
 def rejected_listing(lines: DataFrame) -> DataFrame:
-    return _listing_fields(lines).where("not valid").select("line", *LINE_ORDER)
+    return _listing_fields(lines).where("not valid").select("line", *LINE_PLACE)
 
 
 def _listing_fields(lines: DataFrame) -> DataFrame:
     return computed_once(
         with_fields(lines, ","),
-        LINE_ORDER,
+        LINE_PLACE,
         "line",
         _field(0).alias("name"),
         _field(1).alias("code"),
@@ -61,14 +62,14 @@ def rejected_positions(lines: DataFrame, file_pattern: str = REPORT_FILE) -> Dat
     return (
         _position_fields(lines, file_pattern)
         .where("not valid")
-        .select("line", "date", *LINE_ORDER)
+        .select("line", "date", *LINE_PLACE)
     )
 
 
 def _position_fields(lines: DataFrame, file_pattern: str) -> DataFrame:
     typed = computed_once(
         with_fields(lines, "\t"),
-        LINE_ORDER,
+        LINE_PLACE,
         "line",
         F.size("fields").alias("n_fields"),
         _field(0).alias("name"),
