@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,18 +53,22 @@ def rank_all_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lineitem_anchor_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = inputs.anchor_days(inputs.LINEITEM_DAY)
-    return inputs.lineitem_snapshots(spark, sf_dir, days)
+    return inputs.lineitem_snapshots(spark, sf_dir, days, inputs.PERCENT)
+
+
+def _event_anchor_snapshots(spark: SparkSession, sf_dir: str, day: dt.date) -> DataFrame:
+    return inputs.event_snapshots(spark, sf_dir, inputs.anchor_days(day), inputs.PERCENT)
 
 
 def ordered_movers(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = inputs.event_day(spark, sf_dir)
-    rows = inputs.event_snapshots(spark, sf_dir, inputs.anchor_days(day))
+    rows = _event_anchor_snapshots(spark, sf_dir, day)
     return movers.ordered_movers(rows, day)
 
 
 def ordered_movers_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = inputs.event_day(spark, sf_dir)
-    rows = inputs.event_snapshots(spark, sf_dir, inputs.anchor_days(day))
+    rows = _event_anchor_snapshots(spark, sf_dir, day)
     return movers.ordered_movers(rows, day, largest_first=True)
 
 
@@ -79,7 +85,7 @@ def ordered_movers_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coded_movers(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = inputs.event_day(spark, sf_dir)
-    rows = inputs.event_snapshots(spark, sf_dir, inputs.anchor_days(day))
+    rows = _event_anchor_snapshots(spark, sf_dir, day)
     return movers.coded_movers(rows, day)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from ebbtide.operators.merge import MEASURES, merge_day, merge_days
 
 # The reference day of the line-item movers; all their baselines have data.
 LINEITEM_DAY = dt.date(2001, 10, 16)
+PERCENT = ("percent",)
 PERIODS = ("latest", "day", "week", "month", "year")
 
 
@@ -74,8 +76,8 @@ def event_positions(
     return _latest_events(event_reports(spark, sf_dir, days))
 
 
-def _latest_events(reports: DataFrame) -> DataFrame:
-    return last_wins(reports, ["code", "date"], ["event_id"], MEASURES)
+def _latest_events(reports: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
+    return last_wins(reports, ["code", "date"], ["event_id"], measures)
 
 
 def lineitem_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,9 +112,9 @@ def lineitem_positions(
     return _latest_lineitems(lineitem_reports(spark, sf_dir, days))
 
 
-def _latest_lineitems(reports: DataFrame) -> DataFrame:
+def _latest_lineitems(reports: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
     order = ["percent", "total", "l_linenumber"]
-    return last_wins(reports, ["code", "date"], order, MEASURES)
+    return last_wins(reports, ["code", "date"], order, measures)
 
 
 def event_day(spark: SparkSession, sf_dir: str) -> dt.date:
@@ -122,12 +124,16 @@ def event_day(spark: SparkSession, sf_dir: str) -> dt.date:
 
 
 def event_snapshots(
-    spark: SparkSession, sf_dir: str, days: list[Column] | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    days: list[Column] | None = None,
+    measures: Sequence[str] = MEASURES,
 ) -> DataFrame:
     """Every code on every day (or on those of ``days``) that has events."""
     reports = event_reports(spark, sf_dir, days)
+    positions = _latest_events(reports, measures)
     return merge_days(
-        event_codes(spark, sf_dir), _latest_events(reports), reports.select("date")
+        event_codes(spark, sf_dir), positions, reports.select("date"), measures
     )
 
 
@@ -149,9 +155,13 @@ def event_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_snapshots(
-    spark: SparkSession, sf_dir: str, days: list[Column] | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    days: list[Column] | None = None,
+    measures: Sequence[str] = MEASURES,
 ) -> DataFrame:
     reports = lineitem_reports(spark, sf_dir, days)
+    positions = _latest_lineitems(reports, measures)
     return merge_days(
-        lineitem_codes(spark, sf_dir), _latest_lineitems(reports), reports.select("date")
+        lineitem_codes(spark, sf_dir), positions, reports.select("date"), measures
     )

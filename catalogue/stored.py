@@ -31,7 +31,7 @@ def ranked_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mover_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     ordered, coded = scratch_path(spark, "ordered"), scratch_path(spark, "coded")
     day = inputs.event_day(spark, sf_dir)
-    rows = inputs.event_snapshots(spark, sf_dir, inputs.anchor_days(day))
+    rows = inputs.event_snapshots(spark, sf_dir, inputs.anchor_days(day), inputs.PERCENT)
     jobs.ingest_movers(rows, day, ordered, coded)
     return keyed.read_table(spark, ordered), keyed.read_table(spark, coded)
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SNAPSHOT_COLUMNS = ("date", "code", "name", "shorts", "total", "percent", "industry")
+MEASURES = ("shorts", "total", "percent")
 
 
-MEASURES = ("shorts", "total", "percent")
+def _columns(measures: Sequence[str]) -> list[str]:
+    return ["date", "code", "name", *measures, "industry"]
 
 
 def merge_day(codes: DataFrame, positions: DataFrame, date: Column | int) -> DataFrame:
@@ -23,12 +26,17 @@ def merge_day(codes: DataFrame, positions: DataFrame, date: Column | int) -> Dat
         .join(positions.select("code", *MEASURES), "code", "left")
         .withColumns({name: F.coalesce(name, F.lit(0)) for name in MEASURES})
         .withColumn("date", F.lit(date).cast("int"))
-        .select(*SNAPSHOT_COLUMNS)
+        .select(_columns(MEASURES))
     )
 
 
-def merge_days(codes: DataFrame, positions: DataFrame, days: DataFrame) -> DataFrame:
-    """Every code on every day of ``days``, zero where it has no position.
+def merge_days(
+    codes: DataFrame,
+    positions: DataFrame,
+    days: DataFrame,
+    measures: Sequence[str] = MEASURES,
+) -> DataFrame:
+    """Every code on every day of ``days``, its ``measures`` zero without a position.
 
     ``codes`` is unique on ``code``, ``positions`` on ``(code, date)`` and within
     ``days``; positions of unknown codes drop out. The join is one per code, not one
@@ -38,18 +46,16 @@ def merge_days(codes: DataFrame, positions: DataFrame, days: DataFrame) -> DataF
     """
     point = T.StructType(
         [T.StructField("date", T.IntegerType())]
-        + [T.StructField(name, positions.schema[name].dataType) for name in MEASURES]
+        + [T.StructField(name, positions.schema[name].dataType) for name in measures]
     )
     series = positions.groupBy("code").agg(
-        F.collect_list(F.struct("date", *MEASURES).cast(point)).alias("points")
+        F.collect_list(F.struct("date", *measures).cast(point)).alias("points")
     )
     all_days = days.select(F.col("date").cast("int")).distinct().agg(F.collect_list("date"))
 
     def zero(day):
-        fields = [day.alias("date")] + [
-            F.lit(0).cast(point[name].dataType).alias(name) for name in MEASURES
-        ]
-        return F.struct(*fields).cast(point)
+        zeros = [F.lit(0).cast(point[name].dataType).alias(name) for name in measures]
+        return F.struct(day.alias("date"), *zeros).cast(point)
 
     known = F.coalesce(F.col("points"), F.array().cast(T.ArrayType(point)))
     missing = F.array_except(F.col("all_days"), F.transform(known, lambda p: p["date"]))
@@ -63,5 +69,5 @@ def merge_days(codes: DataFrame, positions: DataFrame, days: DataFrame) -> DataF
             "industry",
             F.inline(F.concat(known, F.transform(missing, zero))),
         )
-        .select(*SNAPSHOT_COLUMNS)
+        .select(_columns(measures))
     )

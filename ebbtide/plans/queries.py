@@ -51,6 +51,7 @@ def top_shorts(ranked: DataFrame, count: int = DEFAULT_ROWS) -> DataFrame:
             _number(ranked, "Percent", parse_float).alias("percent"),
         )
         .orderBy("position")
+        .limit(count)
     )
 
 
@@ -84,6 +85,7 @@ def top_movers(
         ordered.where(numbers["order"] <= last)
         .select([decoded[name].alias(name) for name in names])
         .orderBy("order")
+        .limit(last)
     )
 
 

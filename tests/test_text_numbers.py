@@ -1,3 +1,7 @@
+import csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,3 +90,20 @@ def test_a_long_quoted_field(spark):
     df = spark.createDataFrame([(f'"{inner}",b',)], "line string")
     fields = df.select(text.split_fields(F.col("line"), ",")).first()[0]
     assert fields == [inner.replace('""', '"'), "b"]
+
+
+def test_fields_match_a_csv_writer(spark):
+    rng = random.Random(17)
+    pieces = ["a", "Z", " ", ",", '"', '""', "\t", "é", "\\", "'", "|", "$1", "."]
+    rows = [
+        ["".join(rng.choices(pieces, k=rng.randrange(6))) for _ in range(rng.randrange(1, 7))]
+        for _ in range(400)
+    ]
+    written = []
+    for row in rows:
+        line = io.StringIO()
+        csv.writer(line, lineterminator="").writerow(row)
+        written.append(line.getvalue())
+    df = spark.createDataFrame(list(enumerate(written)), "n int, line string")
+    found = df.select("n", text.split_fields(F.col("line"), ",").alias("f")).orderBy("n")
+    assert [r["f"] for r in found.collect()] == rows
