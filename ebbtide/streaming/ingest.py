@@ -41,12 +41,11 @@ def arriving_files(
     )
 
 
-def _stored_days(spark: SparkSession, day_table: str, numbers: set[int | None]) -> set[int]:
+def _stored_days(spark: SparkSession, day_table: str, numbers: set[int]) -> set[int]:
     """Those of ``numbers`` the table has; reads their partitions alone."""
-    wanted = [number for number in numbers if number is not None]
-    if not wanted or not exists(spark, day_table):
+    if not numbers or not exists(spark, day_table):
         return set()
-    stored = spark.read.parquet(day_table).where(F.col("date").isin(wanted))
+    stored = spark.read.parquet(day_table).where(F.col("date").isin(list(numbers)))
     return {row["date"] for row in stored.select("date").distinct().collect()}
 
 
@@ -75,19 +74,19 @@ def ingest_reports(
         spark = batch.sparkSession
         # Days and file names only, of at most files_per_batch new files.
         arrived = batch.select(path_number(F.col("path"), file_pattern).alias("date"))
-        numbers = {row["date"] for row in arrived.distinct().collect()}
+        filled = {row["date"] for row in arrived.distinct().collect()} - {None}
         empty = {name_number(n, file_pattern) for n in empty_file_names(spark, landing)}
-        numbers |= empty - _stored_days(spark, day_table, empty)
-        numbers.discard(None)
-        if not numbers:
-            return
-        names = file_names(spark, landing)
-        paths = [name for name in names if name_number(name, file_pattern) in numbers]
+        empty -= {None}
+        numbers = filled | (empty - _stored_days(spark, day_table, empty))
         days = days_of(spark, numbers)
-        rows = read_positions(spark, paths, file_pattern)
-        write_days(merge_days(codes(), latest_positions(rows, order), days), day_table)
-        advance_mark(spark, marks, LATEST_DAY, max(numbers))
-        if then is not None:
+        if numbers:
+            names = file_names(spark, landing)
+            paths = [name for name in names if name_number(name, file_pattern) in numbers]
+            rows = read_positions(spark, paths, file_pattern)
+            write_days(merge_days(codes(), latest_positions(rows, order), days), day_table)
+        # By now all empty days are stored, if not by this run of the batch.
+        advance_mark(spark, marks, LATEST_DAY, max(filled | empty, default=None))
+        if numbers and then is not None:
             then(spark.read.parquet(day_table).join(F.broadcast(days), "date", "left_semi"))
 
     return (

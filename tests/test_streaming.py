@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from ebbtide.plans.normalise import latest_listing
 from ebbtide.sinks import marks
 from ebbtide.sources import lines, reports
@@ -56,6 +58,40 @@ def test_new_files_are_taken_once(spark, tmp_path, rows_of):
     assert stored() == [(20180930, "AAA", 4), (20180930, "BBB", 0), *first]
     assert marks.read_mark(spark, mark, marks.LATEST_DAY) == "20181005"
 
+    report(tmp_path / "landing", "20181008", "")
+    run()
+    assert batches == [{20180930}, {20181008}]
+    assert stored()[-2:] == [(20181008, "AAA", 0), (20181008, "BBB", 0)]
+    assert marks.read_mark(spark, mark, marks.LATEST_DAY) == "20181008"
+
+
+def test_a_batch_that_is_run_again_ends_in_the_same_tables(spark, tmp_path, rows_of):
+    listing, landing = folder(tmp_path)
+    report(tmp_path / "landing", "20181008", "")
+    table, mark = str(tmp_path / "days"), str(tmp_path / "marks")
+    calls = []
+
+    def codes():
+        return latest_listing(reports.listing(lines.read_lines(spark, listing)))
+
+    def fail_once(rows):
+        calls.append(rows.count())
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+
+    def run():
+        ingest_reports(
+            spark, landing, codes, table, mark, str(tmp_path / "progress"), then=fail_once
+        ).awaitTermination()
+
+    with pytest.raises(Exception, match="lost"):
+        run()
+    before = rows_of(spark.read.parquet(table), "date", "code", "shorts")
+    run()
+    assert rows_of(spark.read.parquet(table), "date", "code", "shorts") == before
+    assert len(before) == 10
+    assert marks.read_mark(spark, mark, marks.LATEST_DAY) == "20181008"
+
 
 def test_a_day_in_several_files_is_whole_whenever_they_arrive(spark, tmp_path, rows_of):
     listing, _ = folder(tmp_path)
