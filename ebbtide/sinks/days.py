@@ -28,12 +28,15 @@ def write_days(df: DataFrame, path: str, by: str = "date", sort: str = "code") -
 
 
 def documents(snapshots: DataFrame, rows_per_document: int = ROWS_PER_DOCUMENT) -> DataFrame:
-    """Days as ``{"result": [...]}`` documents, split where a day is large."""
-    sizes = snapshots.groupBy("date").agg(F.count("*").alias("_rows"))
-    largest = sizes.agg(F.max("_rows")).scalar()
-    shards = F.ceil(largest / rows_per_document).cast("int")
+    """Days as ``{"result": [...]}`` documents, split where a day is large.
+
+    How many documents a day takes is one number per calendar day, and broadcast.
+    """
+    shards = F.ceil(F.count("*") / rows_per_document).alias("shards")
+    per_day = snapshots.groupBy("date").agg(shards)
     return (
-        snapshots.withColumn("shard", F.pmod(F.xxhash64("code"), shards).cast("int"))
+        snapshots.join(F.broadcast(per_day), "date")
+        .withColumn("shard", F.pmod(F.xxhash64("code"), "shards").cast("int"))
         .groupBy("date", "shard")
         .agg(F.collect_list(F.struct(*SNAPSHOT_ROW.fieldNames())).alias("result"))
     )

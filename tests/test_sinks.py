@@ -52,6 +52,8 @@ def test_documents_come_back_whole(spark, tmp_path, rows_of, rows_per_document):
     days.write_documents(both, path, rows_per_document)
     files = list((tmp_path / "documents" / "date=20181001").glob("*.json"))
     assert (len(files) > 5) == (rows_per_document == 4)
+    small = list((tmp_path / "documents" / "date=20181002").glob("*.json"))
+    assert len(small) <= 2
     for file in files:
         assert set(json.loads(file.read_text())) == {"result"}
     read = snapshots.read_documents(spark, path, file_pattern=r"date=(\d{8})/")
