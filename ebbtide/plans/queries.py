@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.functions.dates import Day, search_window
-from ebbtide.functions.numbers import parse_double, parse_float, parse_long
+from ebbtide.functions.numbers import parse_double, parse_float, parse_long, widened
 from ebbtide.operators.changes import HORIZONS
 from ebbtide.operators.lookup import by_key
 
@@ -42,13 +42,14 @@ def _number(df: DataFrame, name: str, parse=parse_double) -> Column:
 
 
 def top_shorts(ranked: DataFrame, count: int = DEFAULT_ROWS) -> DataFrame:
-    """The first ``count`` places of the ranked table."""
+    """The first ``count`` places of the ranked table; an unreadable percentage is 0."""
+    position = _number(ranked, "Position", parse_long)
     return (
-        ranked.where(F.col("Position") < count)
+        ranked.where(position < count)
         .select(
-            _number(ranked, "Position", parse_long).alias("position"),
+            position.alias("position"),
             F.col("Code").alias("code"),
-            _number(ranked, "Percent", parse_float).alias("percent"),
+            F.coalesce(_number(ranked, "Percent", parse_float), F.lit(0)).alias("percent"),
         )
         .orderBy("position")
         .limit(count)
@@ -120,7 +121,8 @@ def series_points(
     """The dated percentages of the first ``count`` codes within a period.
 
     The short list of codes is what travels; the series, pruned to the dates of
-    the window, stays where it is.
+    the window, stays where it is. An unreadable percentage is 0, a point with an
+    unreadable date is left out.
     """
     if period == "latest":
         raise ValueError("a series needs a period of at least a day")
@@ -128,7 +130,10 @@ def series_points(
     codes = ranked.where(F.col("Position") < count).select("Code").distinct()
     if count <= BROADCAST_CODES:
         codes = F.broadcast(codes)
-    percent = F.coalesce(_number(series, "Percent").cast("double"), F.lit(0.0))
+    percent = _number(series, "Percent")
+    if not isinstance(series.schema["Percent"].dataType, T.StringType):
+        percent = widened(percent, series.schema["Percent"].dataType)
+    percent = F.coalesce(percent, F.lit(0.0))
     date = _number(series, "Date", parse_long).cast("int")
     return (
         series.where(date.between(low, high))

@@ -43,6 +43,23 @@ def test_top_shorts_in_order(spark):
     assert len(queries.top_shorts(ranked, 50).collect()) == 3
 
 
+def test_stored_floats_and_unreadable_numbers(spark):
+    ranked = spark.createDataFrame(
+        [("0", "A", "0.1"), ("1", "B", "x"), ("x", "C", "1")],
+        "Position string, Code string, Percent string",
+    )
+    rows = queries.top_shorts(ranked, 5).collect()
+    assert [(r["position"], r["code"], round(r["percent"], 6)) for r in rows] == [
+        (0, "A", 0.1),
+        (1, "B", 0.0),
+    ]
+    series = spark.createDataFrame(
+        [("BBB", 20181009, 0.1)], "Code string, Date int, Percent float"
+    )
+    point = queries.series_points(ranked_table(spark), series, 1, "week", AS_OF).first()
+    assert point["Percent"] == 0.1
+
+
 def movers_table(spark):
     full = [(n, f"D{n}", f"W{n}", f"M{n}", f"Y{n}", 0.1, 0.2, 0.3, n / 1.0) for n in range(1, 8)]
     full[1] = (*full[1][:4], None, *full[1][5:])
