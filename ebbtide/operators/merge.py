@@ -43,7 +43,12 @@ def merge_days(
     per code and day: each code meets an array of its positions (at most one per
     calendar day), and the days missing from it are filled in while the array is
     unnested, so names and zeros are never shuffled.
+
+    A code becomes a row per day only after the join, which adaptive execution
+    cannot foresee from the join's input: codes therefore keep the session's number
+    of shuffle partitions, where it would merge them into few tasks.
     """
+    tasks = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     point = T.StructType(
         [T.StructField("date", T.IntegerType())]
         + [T.StructField(name, positions.schema[name].dataType) for name in measures]
@@ -61,6 +66,7 @@ def merge_days(
     missing = F.array_except(F.col("all_days"), F.transform(known, lambda p: p["date"]))
     return (
         codes.select("code", "name", "industry")
+        .repartition(tasks, "code")
         .join(series, "code", "left")
         .withColumn("all_days", all_days.scalar())
         .select(
