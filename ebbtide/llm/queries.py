@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import exact
+from ebbtide.llm import exact, simhash, warc
 from ebbtide.llm.shared import table
+from ebbtide.session import scratch_path
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +35,46 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha2
 FROM ranked
 """
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select(
+        F.col("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
+WARC_SQL = """
+WITH rows AS (
+  SELECT page_id, coalesce(html, '') AS html,
+         octet_length(encode(coalesce(html, ''))) AS payload_bytes
+  FROM pages
+), held AS (
+  SELECT *, max(page_id) OVER (PARTITION BY html) AS holder FROM rows
+), marked AS (
+  SELECT *, payload_bytes >= 1000 AND page_id <> holder AS revisit FROM held
+)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN revisit THEN holder END AS refers_to
+FROM marked
+"""
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select(
+        F.col("id").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
 QUERIES = {
+    "op2_warc": (op2_warc, WARC_SQL),
+    "op8_simhash_near_dedup": (op8_simhash_near_dedup, None),
     "op10_exact_dedup": (op10_exact_dedup, EXACT_SQL),
 }

@@ -43,9 +43,9 @@ def known(text: Column) -> Column:
 
 def with_salted(rows: DataFrame, facts: DataFrame, key: str, salts: int = 16) -> DataFrame:
     """``rows`` left-joined with ``facts`` (one row per ``key``) so that a frequent key
-    spreads over ``salts`` tasks. ``facts`` should be the smaller side: it is repeated
+    spreads over ``salts`` tasks by its other columns. ``facts`` should be the smaller side: it is repeated
     once per salt."""
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
     repeated = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return (
         rows.withColumn("_salt", salt).join(repeated, [key, "_salt"], "left").drop("_salt")
