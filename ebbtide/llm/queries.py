@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import exact, simhash, warc
+from ebbtide.llm import exact, language, quality, simhash, substrings, tokens, warc
 from ebbtide.llm.shared import table
 from ebbtide.session import scratch_path
 
@@ -35,6 +35,19 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha2
 FROM ranked
 """
 
+def held_out() -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = language.train(docs.where(~held_out()))
+    found = language.identify(docs, network)
+    return found.withColumnRenamed("id", "doc_id").select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -73,7 +86,31 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_removed",
+        F.lower(F.hex("kept_sha")).alias("kept_sha256"),
+    )
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokens.count_tokens(table(spark, sf_dir, "documents"))
+    return counted.withColumnRenamed("id", "doc_id")
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
+    "op1_language_id": (op1_language_id, None),
+    "op6_substring_dedup": (op6_substring_dedup, None),
+    "op7_token_counts": (op7_token_counts, None),
+    "op9_quality_rules": (op9_quality_rules, None),
     "op2_warc": (op2_warc, WARC_SQL),
     "op8_simhash_near_dedup": (op8_simhash_near_dedup, None),
     "op10_exact_dedup": (op10_exact_dedup, EXACT_SQL),

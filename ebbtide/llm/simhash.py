@@ -39,7 +39,7 @@ def fingerprints_of(texts: list[str], shingle: int = SHINGLE) -> np.ndarray:
     out = np.zeros(len(texts), np.uint64)
     places = np.uint64(1) << np.arange(64, dtype=np.uint64)
     for i, text in enumerate(texts):
-        words = text.encode("utf-8", "surrogatepass").lower().split()
+        words = text.encode().lower().split()
         if not words:
             continue
         joined = b" ".join(words)
