@@ -1,22 +1,53 @@
-"""From raw documents to encoded training documents, in stages of whole operators."""
+"""From raw documents to encoded training documents, in stages of whole operators.
+
+Every stage but the last returns the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ebbtide.llm import exact
+from ebbtide.llm import exact, language, mixing, pieces, simhash
 from ebbtide.llm.shared import stored, table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language, or with too low a score for any, go."""
+    return language.confident(docs, language.train(docs))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact.without_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by SimHash fingerprints the one with the least id stays."""
+    return simhash.one_of_each_group(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated so that sources weigh alike, in random order."""
+    return mixing.copies(docs).select("row.*")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as ids of pieces."""
+    return pieces.encode(docs).select(
+        F.col("id").alias("doc_id"), F.size("pieces").alias("n_pieces"), "pieces", "intact"
+    )
+
+
 STAGES = [
+    ("language_id", language_id),
     ("exact_dedup", exact_dedup),
+    ("simhash_near_dedup", near_dedup),
+    ("mixing", mix),
+    ("sentencepiece", encode),
 ]
 
+# The first stage is a trained network, which SQL cannot express.
 ORACLE_SQL = None
 
 

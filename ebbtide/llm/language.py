@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.shared import known, ship
@@ -196,7 +196,30 @@ def train(
     return fit([t for _, t in found], [name for name, _ in found])
 
 
-def identify(docs: DataFrame, network: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:
+def judged(
+    network: Network | None, texts: list[str], lettered: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The language and its score of each text; ``lettered`` tells which have letters."""
+    names = np.array([UNKNOWN] * len(texts), object)
+    scores = np.zeros(len(texts))
+    asked = np.flatnonzero(lettered)
+    if network is not None and len(asked):
+        windows, owner, sizes = windows_of([texts[i] for i in asked])
+        found = probabilities(network, windows) * sizes[:, None]
+        total = np.stack([np.bincount(owner, part, len(asked)) for part in found.T], 1)
+        total /= np.bincount(owner, sizes, len(asked))[:, None]
+        names[asked] = np.array(network.languages, object)[total.argmax(1)]
+        scores[asked] = np.clip(total.max(1), 0, 1)
+    return names, scores
+
+
+def _lettered(text: str) -> Column:
+    return known(F.col(text)).rlike(r"\p{L}")
+
+
+def identify(
+    docs: DataFrame, network: Network | None, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """``id``, ``lang_pred`` and ``score`` of every row of ``docs``.
 
     The score of a language is its probability averaged over all windows of the text by
@@ -207,22 +230,9 @@ def identify(docs: DataFrame, network: Network | None, key: str = "doc_id", text
     broadcast = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = broadcast.value
         for batch in batches:
-            texts = batch.column(1).to_pylist()
             lettered = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            names = np.array([UNKNOWN] * len(texts), object)
-            scores = np.zeros(len(texts))
-            if network is not None:
-                asked = np.flatnonzero(lettered)
-                windows, owner, sizes = windows_of([texts[i] for i in asked])
-                found = probabilities(network, windows) * sizes[:, None]
-                total = np.stack(
-                    [np.bincount(owner, column, len(asked)) for column in found.T], 1
-                ) / np.maximum(np.bincount(owner, sizes, len(asked)), 1)[:, None]
-                if len(asked):
-                    names[asked] = np.array(network.languages, object)[total.argmax(1)]
-                    scores[asked] = np.clip(total.max(1), 0, 1)
+            names, scores = judged(broadcast.value, batch.column(1).to_pylist(), lettered)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores)],
                 ["id", "lang_pred", "score"],
@@ -231,8 +241,28 @@ def identify(docs: DataFrame, network: Network | None, key: str = "doc_id", text
     return docs.select(
         F.col(key).cast("long").alias("id"),
         known(F.col(text)).alias("text"),
-        known(F.col(text)).rlike(r"\p{L}").alias("lettered"),
+        _lettered(text).alias("lettered"),
     ).mapInArrow(run, "id long, lang_pred string, score double")
 
 
+def confident(
+    docs: DataFrame, network: Network | None, text: str = "text", least: float = LEAST_SCORE
+) -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of ``least`` or more,
+    with all their columns. Rules as in :func:`identify`; where nothing could be
+    learned, texts with letters stay."""
+    broadcast = docs.sparkSession.sparkContext.broadcast(network)
+    place, width = docs.columns.index(text), len(docs.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = batch.column(width).to_numpy(zero_copy_only=False).astype(bool)
+            if broadcast.value is not None:
+                texts = [t or "" for t in batch.column(place).to_pylist()]
+                kept &= judged(broadcast.value, texts, kept)[1] >= least
+            yield batch.select(list(range(width))).filter(pa.array(kept))
+
+    return docs.select("*", _lettered(text).alias("_lettered_text_")).mapInArrow(run, docs.schema)
+
+
 ship(__name__)

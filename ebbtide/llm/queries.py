@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import exact, language, quality, simhash, substrings, tokens, warc
+from ebbtide.llm import (
+    exact,
+    language,
+    mixing,
+    pieces,
+    pii,
+    quality,
+    simhash,
+    substrings,
+    tokens,
+    warc,
+)
 from ebbtide.llm.shared import table
 from ebbtide.session import scratch_path
 
@@ -86,6 +97,58 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.copies(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "row.source", "copy"
+    )
+
+
+MIXING_SQL = """
+WITH RECURSIVE sizes AS (
+  SELECT source, sum(octet_length(encode(coalesce(text, '')))) AS bytes
+  FROM documents GROUP BY source HAVING bytes > 0
+), rates AS (
+  SELECT source, 1.0::DOUBLE / (SELECT count(*) FROM sizes)::DOUBLE
+         * (SELECT sum(bytes) FROM sizes)::DOUBLE / bytes::DOUBLE AS rate
+  FROM sizes
+), terms AS (
+  SELECT source, rate, 0 AS k, exp(-rate) AS term, exp(-rate) AS total FROM rates
+  UNION ALL
+  SELECT source, rate, k + 1, term * rate / (k + 1), total + term * rate / (k + 1)
+  FROM terms WHERE k < ceil(rate + 10 * sqrt(rate) + 30)
+), drawn AS (
+  SELECT doc_id, source,
+         ('0x' || substr(md5(doc_id || ':17:count'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE
+           AS chance
+  FROM documents
+), counted AS (
+  SELECT doc_id, d.source, count(*) AS times
+  FROM drawn d JOIN terms t ON d.source IS NOT DISTINCT FROM t.source AND t.total <= d.chance
+  GROUP BY doc_id, d.source
+)
+SELECT doc_id, source, unnest(range(1, times + 1))::INTEGER AS copy FROM counted
+"""
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, sf_dir, "documents"))
+    return encoded.withColumnRenamed("id", "doc_id")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.repeated_passages(table(spark, sf_dir, "documents"))
     return found.select(
@@ -108,6 +171,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": (op1_language_id, None),
+    "op3_pii": (op3_pii, None),
+    "op4_mixing": (op4_mixing, MIXING_SQL),
+    "op5_sentencepiece": (op5_sentencepiece, None),
     "op6_substring_dedup": (op6_substring_dedup, None),
     "op7_token_counts": (op7_token_counts, None),
     "op9_quality_rules": (op9_quality_rules, None),

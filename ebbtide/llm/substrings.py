@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.fmindex import Index
@@ -318,15 +318,13 @@ def repeated_passages(
 
 
 def _with_text(given: DataFrame, spans: DataFrame) -> DataFrame:
-    """The texts of the documents in ``spans``; one of rows that repeat."""
-    found = given.join(spans, "rank")
-    # Documents of one id differ in their words: the digest of the words tells them.
+    """The texts of the documents in ``spans``; one of rows that repeat. Documents of
+    one id are told apart by the digest of their words."""
     squeezed = F.regexp_replace(F.regexp_replace("text", r"[ \t-\r]+", " "), "^ | $", "")
-    return (
-        found.where(F.unhex(F.sha2(squeezed, 256)) == F.col("sha"))
-        .groupBy("rank", "sha")
-        .agg(F.first("text").alias("text"), F.first("spans").alias("spans"))
-    )
+    digested = given.withColumn("sha", F.unhex(F.sha2(squeezed, 256)))
+    one = F.row_number().over(Window.partitionBy("rank", "sha").orderBy("rank"))
+    found = digested.join(spans, ["rank", "sha"]).withColumn("nth", one)
+    return found.where("nth = 1").drop("nth")
 
 
 ship(__name__)
