@@ -25,12 +25,14 @@ WINDOW = 50
 GRAM = 8
 # Windows one passage holds at most; longer runs are cut.
 RUN = 64
-# Passages one shard key may bring together; beyond, each window goes by its own hash.
+# Different passages one shard key may bring together; beyond, each window goes by its
+# own hash.
 MEETING = 1000
 INDEXED_WORDS = 300_000
 _COMBINED_BYTES = 16 << 20
 _LAST = (1 << 63) - 1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(int(_MIX), -1, 1 << 64))
 
 
 def _least_hashes(words: np.ndarray, window: int) -> np.ndarray:
@@ -49,11 +51,11 @@ def _least_hashes(words: np.ndarray, window: int) -> np.ndarray:
     return least.view(np.int64)
 
 
-def _runs(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _runs(words: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
     """Runs of consecutive windows with the same least hash, cut to ``RUN``: the hash,
-    the first window, the number of windows."""
+    the first window, the number of windows, and a hash of the run's words."""
     if len(words) < window:
-        return (np.empty(0, np.int64),) * 3
+        return (np.empty(0, np.int64),) * 4
     least = _least_hashes(words, window)
     starts = np.concatenate([[0], np.flatnonzero(np.diff(least)) + 1])
     sizes = np.diff(starts, append=len(least))
@@ -61,7 +63,13 @@ def _runs(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.nd
     first = np.repeat(starts, parts)
     nth = np.arange(len(first)) - np.repeat(np.cumsum(parts) - parts, parts)
     first += nth * RUN
-    return least[first], first, np.minimum(np.repeat(starts + sizes, parts) - first, RUN)
+    count = np.minimum(np.repeat(starts + sizes, parts) - first, RUN)
+    # A sum of words times powers, moved back by the power of the first place.
+    powers = np.cumprod(np.full(len(words), _MIX)) * _BACK
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(words * powers, dtype=np.uint64)])
+    backs = np.cumprod(np.full(len(words), _BACK)) * _MIX
+    content = (sums[first + count + window - 1] - sums[first]) * backs[first]
+    return least[first], first, count, content.view(np.int64)
 
 
 def _examined(docs: DataFrame, window: int) -> DataFrame:
@@ -83,16 +91,17 @@ def _examined(docs: DataFrame, window: int) -> DataFrame:
                     pa.array(offsets, pa.int32()),
                     pa.array(np.concatenate([f[i] for f in found] or [[]]), kind),
                 )
-                for i, kind in enumerate((pa.int64(), pa.int32(), pa.int32()))
+                for i, kind in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int64()))
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), *lists],
-                ["rank", "n_words", "sha", "keys", "starts", "sizes"],
+                ["rank", "n_words", "sha", "keys", "starts", "sizes", "contents"],
             )
 
     return docs.mapInArrow(
         run,
-        "rank long, n_words long, sha binary, keys array<long>, starts array<int>, sizes array<int>",
+        "rank long, n_words long, sha binary, keys array<long>, starts array<int>,"
+        " sizes array<int>, contents array<long>",
     )
 
 
@@ -280,14 +289,16 @@ def repeated_passages(
     rows = with_salted(rows, copies, "sha")
     first = rows.where("least IS NULL OR rank = least")
     runs = first.select(
-        "rank", "sha", F.explode(F.arrays_zip("keys", "starts", "sizes")).alias("run")
-    ).select("rank", "sha", F.col("run.keys").alias("key"), "run.starts", "run.sizes")
+        "rank", "sha", F.explode(F.arrays_zip("keys", "starts", "sizes", "contents")).alias("run")
+    ).select("rank", "sha", F.col("run.keys").alias("key"), "run.starts", "run.sizes", "run.contents")
     runs = stored(runs, "runs")
     shared = (
-        runs.groupBy("key")
-        .agg(F.min("rank").alias("low"), F.max("rank").alias("high"), F.count("*").alias("times"))
+        runs.groupBy("key", "contents")
+        .agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
+        .groupBy("key")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("texts"))
         .where("low < high")
-        .select("key", (F.col("times") > MEETING).alias("crowded"))
+        .select("key", (F.col("texts") > MEETING).alias("crowded"))
     )
     span = F.struct(F.col("starts").alias("start"), F.col("sizes").alias("size"), "key", "crowded")
     spans = runs.join(shared, "key").groupBy("rank", "sha").agg(F.collect_list(span).alias("spans"))
