@@ -25,9 +25,10 @@ WINDOW = 50
 GRAM = 8
 # Windows one passage holds at most; longer runs are cut.
 RUN = 64
-# Different passages one shard key may bring together; beyond, each window goes by its
+# Different passages one shard key may bring together, which one index must hold (under
+# a million words); beyond, each window goes by its
 # own hash.
-MEETING = 1000
+MEETING = 8000
 INDEXED_WORDS = 300_000
 _COMBINED_BYTES = 16 << 20
 _LAST = (1 << 63) - 1
