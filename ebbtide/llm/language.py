@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.shared import known, ship
+from ebbtide.llm.shared import known, ship, slices
 
 WINDOW = 192
 WIDTHS = (2, 3, 4)
@@ -203,13 +203,14 @@ def judged(
     names = np.array([UNKNOWN] * len(texts), object)
     scores = np.zeros(len(texts))
     asked = np.flatnonzero(lettered)
-    if network is not None and len(asked):
-        windows, owner, sizes = windows_of([texts[i] for i in asked])
+    for part in slices([texts[i] for i in asked]) if network is not None else ():
+        own = asked[part]
+        windows, owner, sizes = windows_of([texts[i] for i in own])
         found = probabilities(network, windows) * sizes[:, None]
-        total = np.stack([np.bincount(owner, part, len(asked)) for part in found.T], 1)
-        total /= np.bincount(owner, sizes, len(asked))[:, None]
-        names[asked] = np.array(network.languages, object)[total.argmax(1)]
-        scores[asked] = np.clip(total.max(1), 0, 1)
+        total = np.stack([np.bincount(owner, share, len(own)) for share in found.T], 1)
+        total /= np.bincount(owner, sizes, len(own))[:, None]
+        names[own] = np.array(network.languages, object)[total.argmax(1)]
+        scores[own] = np.clip(total.max(1), 0, 1)
     return names, scores
 
 

@@ -22,12 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.shared import known, ship
+from ebbtide.llm.shared import known, ship, slices
 
 # Fixed value: what stands for a space in pieces.
 MARK = "▁"
 _LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]")
-CACHED = 600_000
+# Words a worker's cache holds before it starts anew, and pairs of pieces.
+CACHED = 250_000
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -123,6 +124,8 @@ class Vocabulary:
                     i += 1
                 else:
                     j += 1
+        if len(self.fits) > CACHED:
+            self.fits.clear()
         self.fits[before, piece] = fits
         return fits
 
@@ -211,22 +214,24 @@ def encode(
         vocabulary = Vocabulary(path)
         encode = encoder(vocabulary)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            found = encode(texts)
-            offsets = np.cumsum([0, *map(len, found)])
-            flat = np.fromiter(chain.from_iterable(found), np.int32, offsets[-1])
-            same = [
-                vocabulary.decode(ids) == text.replace(MARK, " ")
-                for ids, text in zip(found, texts, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
-                    pa.array(same, pa.bool_()),
-                ],
-                ["id", "pieces", "intact"],
-            )
+            whole = batch.column(1).to_pylist()
+            for part in slices(whole):
+                texts = whole[part]
+                found = encode(texts)
+                offsets = np.cumsum([0, *map(len, found)])
+                flat = np.fromiter(chain.from_iterable(found), np.int32, offsets[-1])
+                same = [
+                    vocabulary.decode(ids) == text.replace(MARK, " ")
+                    for ids, text in zip(found, texts, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0)[part],
+                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
+                        pa.array(same, pa.bool_()),
+                    ],
+                    ["id", "pieces", "intact"],
+                )
 
     return docs.select(
         F.col(key).cast("long").alias("id"), known(F.col(text)).alias("text")

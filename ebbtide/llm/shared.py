@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark import cloudpickle
@@ -38,6 +39,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(texts: list[str], size: int = 2 << 20) -> Iterator[slice]:
+    """Parts of a batch that hold about ``size`` characters, or one longer text."""
+    start = held = 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > size:
+            yield slice(start, i)
+            start, held = i, 0
+        held += len(text)
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 def known(text: Column) -> Column:
     """Null counts as empty."""
     return F.coalesce(text, F.lit(""))
