@@ -74,8 +74,8 @@ def word_numbers(raw: np.ndarray) -> np.ndarray:
     edges = np.flatnonzero(white[1:] != white[:-1]) + 1
     starts, ends = edges[::2], edges[1::2]
     places = np.arange(len(raw), dtype=np.int32)
-    lasts = np.concatenate([[0], ends])
-    places -= np.repeat(places[lasts], np.diff(lasts, append=len(raw)))
+    origins = np.concatenate([[0], starts])
+    places -= np.repeat(places[origins], np.diff(origins, append=len(raw)))
     mixed = _BYTE_MIX[raw] * (places.view(np.uint32) * np.uint64(2) + np.uint64(1))
     sums = np.cumsum(mixed ^ (mixed >> np.uint64(32)), dtype=np.uint64)
     return sums[ends - 1] - sums[starts - 1]
