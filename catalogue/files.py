@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -249,7 +247,7 @@ def normalise_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, from files that arrive in two lots."""
     landing, table = scratch_path(spark, "landing"), scratch_path(spark, "days")
-    mark, checkpoint = scratch_path(spark, "marks"), scratch_path(spark, "progress")
+    mark, ledger = scratch_path(spark, "marks"), scratch_path(spark, "ledger")
     report = report_lines(spark, sf_dir)
     halves = report.agg(
         F.floor((F.min("report_date") + F.max("report_date")) / 2).alias("middle")
@@ -264,10 +262,10 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             lambda: inputs.event_codes(spark, sf_dir),
             table,
             mark,
-            checkpoint,
+            ledger,
             file_pattern=DAY_FOLDER,
             order=("shorts",),
-        ).awaitTermination()
+        )
     newest = marks.read_mark(spark, mark, marks.LATEST_DAY)
     return spark.read.parquet(table).select(
         "code", "date", "industry", "name", "shorts", "total",
@@ -284,9 +282,6 @@ def changed_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     middle = (first + last) // 2
     land_reports(report.where(F.col("report_date") <= middle), path)
     mark = lines.newest_change(lines.read_lines(spark, path)).first()["mark"]
-    marked = dt.datetime.fromisoformat(mark).timestamp()
-    while time.time() < marked + 1.1:
-        time.sleep(0.05)
     land_reports(report.where(F.col("report_date") > middle), path)
     rows = reports.positions(lines.changed_lines(spark, path, mark), DAY_FOLDER)
     return rows.select("code", "shorts", "date")

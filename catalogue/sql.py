@@ -94,15 +94,17 @@ HORIZONS = ("day", "week", "month", "year")
 
 def changes(snapshots: str, day: str) -> str:
     """Per code of the latest day its four changes, by outer joins."""
+    anchors = {h: anchor(h, day) for h in ("latest", *HORIZONS)}
     joins = "\n".join(
-        f"LEFT JOIN snap {h}_s ON {h}_s.code = l.code AND {h}_s.date = {anchor(h, 'r.d')}"
+        f"LEFT JOIN snap {h}_s ON {h}_s.code = l.code AND {h}_s.date = {anchors[h]}"
         for h in HORIZONS
     )
     columns = ", ".join(f"l.percent - {h}_s.percent AS {h}" for h in HORIZONS)
-    return f"""WITH snap AS MATERIALIZED ({snapshots}), ref AS (SELECT {day} AS d)
-    SELECT l.code, {columns} FROM ref r
-    JOIN snap l ON l.date = {anchor('latest', 'r.d')}
-    {joins}"""
+    return f"""WITH snap AS MATERIALIZED (
+        SELECT * FROM ({snapshots}) s WHERE date IN ({", ".join(anchors.values())}))
+    SELECT l.code, {columns} FROM snap l
+    {joins}
+    WHERE l.date = {anchors['latest']}"""
 
 
 def coded_movers(snapshots: str, day: str) -> str:

@@ -24,15 +24,16 @@ def by_keys(table: DataFrame, key: str, values: Sequence | DataFrame) -> DataFra
     """The rows of the given keys; keys without a row are skipped.
 
     A long list or a DataFrame of keys becomes a semi join, whose strategy Spark
-    picks by size.
+    picks by size. Listed keys of either length are read as the column's type; those
+    that cannot be have no row.
     """
     if not isinstance(values, DataFrame):
-        if len(values) <= IN_LIST_KEYS:
-            return table.where(F.col(key).isin(list(values)))
-        spark = table.sparkSession
-        values = spark.createDataFrame(
-            [(value,) for value in values], f"`{key}` {table.schema[key].dataType.simpleString()}"
-        )
+        kind = table.schema[key].dataType
+        texts = [None if value is None else str(value) for value in values]
+        if len(texts) <= IN_LIST_KEYS:
+            return table.where(F.col(key).isin([F.lit(text).try_cast(kind) for text in texts]))
+        listed = table.sparkSession.createDataFrame([(text,) for text in texts], "k string")
+        values = listed.select(F.col("k").try_cast(kind).alias(key))
     return table.join(values.select(key), key, "left_semi").select(*table.columns)
 
 

@@ -97,8 +97,13 @@ class Desk:
         )
 
     def ingest_day(self, day: int) -> None:
-        """Bring a normalised day into the series and make it the ranked one."""
+        """Bring a normalised day into the series and make it the ranked one.
+
+        ``ValueError``, and nothing changed, if the day is not there.
+        """
         rows = self.days().where(F.col("date") == day)
+        if rows.isEmpty():
+            raise ValueError(f"no normalised day {day}")
         jobs.ingest_series(rows, self.path("series"))
         jobs.ingest_ranked(rows, self.path("ranked"))
         marks.write_mark(self.spark, self.path("marks"), marks.LATEST_DAY, str(day))

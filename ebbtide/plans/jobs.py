@@ -7,13 +7,14 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.functions.dates import Day, day_number
+from ebbtide.functions.dates import Day
 from ebbtide.operators.changes import changes
 from ebbtide.plans import movers, rankings
-from ebbtide.plans.normalise import last_day, normalise_folder
+from ebbtide.plans.normalise import between_days, last_day, normalise_folder
 from ebbtide.sinks.days import write_days
 from ebbtide.sinks.keyed import replace, stored_rows, upsert
 from ebbtide.sinks.marks import LATEST_DAY, advance_mark, read_mark
+from ebbtide.sources.reports import report_days
 
 
 def backfill(
@@ -25,15 +26,16 @@ def backfill(
     start: Day | None = None,
     end: Day | None = None,
 ) -> None:
-    """Normalise all report days in a range at once, then move the mark."""
-    days = normalise_folder(spark, listing_path, reports_path, start, end)
-    write_days(days, day_table)
-    written = spark.read.parquet(day_table)
-    if start is not None:
-        written = written.where(
-            (F.col("date") >= day_number(start)) & (F.col("date") < day_number(end))
-        )
-    advance_mark(spark, marks, LATEST_DAY, last_day(written).first()["date"])
+    """Normalise all report days in a range at once, then move the mark.
+
+    Either end may be open. A range without reports changes nothing.
+    """
+    found = between_days(report_days(spark, reports_path), start, end)
+    newest = last_day(found).first()["date"]
+    if newest is None:
+        return
+    write_days(normalise_folder(spark, listing_path, reports_path, start, end), day_table)
+    advance_mark(spark, marks, LATEST_DAY, newest)
 
 
 def ingest_series(snapshots: DataFrame, series_table: str) -> None:

@@ -21,10 +21,14 @@ def latest_positions(rows: DataFrame, order: tuple[str, ...] = lines.LINE_ORDER)
     return last_wins(rows, ["code", "date"], order, MEASURES)
 
 
-def between_days(rows: DataFrame, start: Day, end: Day) -> DataFrame:
-    """Rows dated from ``start`` up to, not including, ``end``."""
+def between_days(rows: DataFrame, start: Day | None, end: Day | None) -> DataFrame:
+    """Rows dated from ``start`` up to, not including, ``end``; either may be open."""
     date = F.col("date")
-    return rows.where((date >= day_number(start)) & (date < day_number(end)))
+    if start is not None:
+        rows = rows.where(date >= day_number(start))
+    if end is not None:
+        rows = rows.where(date < day_number(end))
+    return rows
 
 
 def normalise_folder(
@@ -35,16 +39,24 @@ def normalise_folder(
     end: Day | None = None,
     file_pattern: str = reports.REPORT_FILE,
 ) -> DataFrame:
-    """All days of a landing folder, or those from ``start`` before ``end``.
+    """All days of a landing folder, or those from ``start`` before ``end``. Only the
+    files of these days are opened.
 
     A day with a report but no valid line has every code at zero; a day without a
     report is absent.
     """
     codes = latest_listing(reports.listing(lines.read_lines(spark, listing_path)))
-    rows = reports.read_positions(spark, reports_path, file_pattern).where("date is not null")
-    days = reports.report_days(spark, reports_path, file_pattern)
-    if start is not None:
-        rows, days = between_days(rows, start, end), between_days(days, start, end)
+    days = between_days(reports.report_days(spark, reports_path, file_pattern), start, end)
+    # Calendar days only.
+    numbers = {row["date"] for row in days.collect()}
+    paths = [
+        name
+        for name in lines.file_names(spark, reports_path)
+        if lines.name_number(name, file_pattern) in numbers
+    ]
+    rows = reports.read_positions(spark, paths or reports_path, file_pattern)
+    if not paths:
+        rows = rows.where(F.lit(False))
     return merge_days(codes, latest_positions(rows), days)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="ebbtide-")
         spark.conf.set(CHECKPOINT_DIR, folder)

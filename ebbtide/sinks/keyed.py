@@ -37,9 +37,19 @@ def read_table(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def replace(df: DataFrame, root: str) -> None:
-    """Make ``df`` the whole table."""
-    versions = _versions(df.sparkSession, root)
+    """Make ``df`` the whole table.
+
+    A writer takes its version number by creating the folder, which fails for a number
+    that another writer has taken; of two writers both versions stay, the later counts.
+    """
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    versions = _versions(spark, root)
     number = versions[-1] + 1 if versions else 1
+    while not files.createNewFile(path(f"{root}/_taken-v{number}")):
+        number += 1
     df.write.mode("overwrite").parquet(f"{root}/v{number}")
 
 

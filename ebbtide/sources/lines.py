@@ -25,6 +25,8 @@ from ebbtide.session import materialise
 
 # Fixed value: lines ahead of the first record of a downloaded listing.
 PREAMBLE_LINES = 3
+# File names that text scans decompress.
+COMPRESSED = r"\.(gz|bz2|deflate|lz4|snappy|zst)$"
 
 # Where a line stands among all lines read, oldest file first. Files of one time come
 # in the order of a number made from their path: paths in the rows to be compared
@@ -41,16 +43,17 @@ def read_lines(
     """Lines with file, file size, modification time and place in the file."""
     reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True)
     if modified_after is not None:
-        # The option takes whole seconds and is inclusive of later fractions;
-        # the exact comparison follows on the file's metadata.
+        # The option takes whole seconds; the exact comparison follows on the file's
+        # metadata.
         moment = modified_after.astimezone(dt.UTC)
         reader = reader.option("timeZone", "UTC").option(
             "modifiedAfter", (moment - dt.timedelta(seconds=1)).strftime("%Y-%m-%dT%H:%M:%S")
         )
     raw = reader.text(path)
     if modified_after is not None:
-        changed = F.unix_seconds("_metadata.file_modification_time")
-        raw = raw.where(changed > int(modified_after.timestamp()))
+        changed = F.unix_micros("_metadata.file_modification_time")
+        since = modified_after - dt.datetime.fromtimestamp(0, dt.UTC)
+        raw = raw.where(changed > since // dt.timedelta(microseconds=1))
     return raw.select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file"),
@@ -73,18 +76,18 @@ def changed_lines(spark: SparkSession, path: str | list[str], mark: str) -> Data
 def newest_change(lines: DataFrame) -> DataFrame:
     """One row: the latest modification time read, as an RFC 3339 ``mark``."""
     return lines.agg(
-        F.date_format(F.max("modified"), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("mark")
+        F.date_format(F.max("modified"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("mark")
     )
 
 
 def modified_at(spark: SparkSession, path: str) -> dt.datetime | None:
-    """When a file was last modified, to the second; None if it is not there."""
+    """When a file was last modified; None if it is not there."""
     if not exists(spark, path):
         return None
     file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    seconds = files.getFileStatus(file).getModificationTime() // 1000
-    return dt.datetime.fromtimestamp(seconds, dt.UTC)
+    passed = dt.timedelta(milliseconds=files.getFileStatus(file).getModificationTime())
+    return dt.datetime.fromtimestamp(0, dt.UTC) + passed
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -116,6 +119,9 @@ def empty_file_names(spark: SparkSession, path: str | list[str]) -> list[str]:
 def skip_preamble(lines: DataFrame, preamble: int = PREAMBLE_LINES) -> DataFrame:
     """Lines of each file without its first few and without an unended last one.
 
+    Whether the last line has ended shows in the file's size; a compressed file's size
+    does not tell, so its last line stays.
+
     The lines are stored first: the per-file facts and the lines they are joined
     with have to come from one numbering. The facts are one row per file, no more
     than the listing the driver holds, and are broadcast, so the lines of a large
@@ -126,7 +132,10 @@ def skip_preamble(lines: DataFrame, preamble: int = PREAMBLE_LINES) -> DataFrame
     files = lines.groupBy("file").agg(
         F.min(F.when(F.col("block") == 0, F.col("seq"))).alias("first_seq"),
         F.max(place).alias("last_place"),
-        (F.sum(F.octet_length("line") + 1) > F.max("file_size")).alias("open_end"),
+        (
+            ~F.col("file").rlike(COMPRESSED)
+            & (F.sum(F.octet_length("line") + 1) > F.max("file_size"))
+        ).alias("open_end"),
     )
     in_preamble = (F.col("block") == 0) & (F.col("seq") < F.col("first_seq") + preamble)
     unended = F.col("open_end") & (place == F.col("last_place"))

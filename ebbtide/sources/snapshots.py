@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +11,8 @@ from ebbtide.sources.lines import path_number
 
 # Fixed value: how a snapshot file carries its day.
 SNAPSHOT_FILE = r"(\d*)(?=\.json$)"
+# How the folder of a day carries it.
+DAY_FOLDER = r"/date=(\d+)/[^/]*$"
 
 
 def read_json_rows(
@@ -25,9 +27,10 @@ def read_documents(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType = SNAPSHOT_DOCUMENT,
-    file_pattern: str = SNAPSHOT_FILE,
+    file_pattern: str | None = None,
 ) -> DataFrame:
-    """Rows of ``{"result": [...]}`` documents with the day of their file.
+    """Rows of ``{"result": [...]}`` documents with the day of their file, from the
+    folder ``date=<yyyymmdd>`` it lies in or else from its name.
 
     A document without rows adds none; a broken one fails the job.
     """
@@ -35,13 +38,19 @@ def read_documents(
     return (
         _json(spark, path, schema)
         .select(
-            path_number(F.col("_metadata.file_path"), file_pattern).alias("date"),
+            _day(F.col("_metadata.file_path"), file_pattern).alias("date"),
             F.inline("result"),
         )
         .select("date", *_zero_filled(row))
     )
 
 
+def _day(path: Column, file_pattern: str | None) -> Column:
+    if file_pattern is not None:
+        return path_number(path, file_pattern)
+    return F.coalesce(path_number(path, DAY_FOLDER), path_number(path, SNAPSHOT_FILE))
+
+
 def create_document_view(
     spark: SparkSession,
     path: str | list[str],

@@ -1,4 +1,4 @@
-"""New report files into the day table, each file once."""
+"""New and changed report files into the day table, each version once."""
 
 from __future__ import annotations
 
@@ -10,43 +10,47 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ebbtide.operators.merge import merge_days
 from ebbtide.plans.normalise import latest_positions
+from ebbtide.session import materialise
 from ebbtide.sinks.days import write_days
+from ebbtide.sinks.keyed import drop_old_versions, read_table, upsert
 from ebbtide.sinks.marks import LATEST_DAY, advance_mark
 from ebbtide.sinks.records import keyed_records
 from ebbtide.sources.lines import (
     LINE_ORDER,
     empty_file_names,
-    exists,
     file_names,
+    modified_at,
     name_number,
     path_number,
 )
 from ebbtide.sources.reports import REPORT_FILE, days_of, read_positions
 
-# File names a micro-batch hands to its batch job.
-FILES_PER_BATCH = 1000
+# Days whose reports are normalised in one job.
+DAYS_PER_BATCH = 31
+FILE = "path string, modified timestamp, length long"
 
 
-def arriving_files(
-    spark: SparkSession, landing: str, files_per_batch: int = FILES_PER_BATCH
-) -> DataFrame:
-    """Paths of files as they arrive; no content is read."""
-    return (
-        spark.readStream.format("binaryFile")
-        .schema("path string, modificationTime timestamp, length long, content binary")
+def landed_files(spark: SparkSession, landing: str) -> DataFrame:
+    """Path, modification time and length of every file in a folder; no content is
+    read. Scans pass over empty files, so these are taken from the listing."""
+    filled = (
+        spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch)
         .load(landing)
-        .select("path")
+        .select("path", F.col("modificationTime").alias("modified"), "length")
     )
+    empty = [(name, modified_at(spark, name), 0) for name in empty_file_names(spark, landing)]
+    return filled.union(spark.createDataFrame(empty, FILE))
 
 
-def _stored_days(spark: SparkSession, day_table: str, numbers: set[int]) -> set[int]:
-    """Those of ``numbers`` the table has; reads their partitions alone."""
-    if not numbers or not exists(spark, day_table):
-        return set()
-    stored = spark.read.parquet(day_table).where(F.col("date").isin(list(numbers)))
-    return {row["date"] for row in stored.select("date").distinct().collect()}
+def pending_files(spark: SparkSession, landing: str, ledger: str) -> DataFrame:
+    """Files of which the ledger does not have this version: new ones, whatever their
+    time, and ones changed or emptied since."""
+    files = landed_files(spark, landing)
+    taken = read_table(spark, ledger)
+    if taken is None:
+        return files
+    return files.join(taken, ["path", "modified", "length"], "left_anti")
 
 
 def ingest_reports(
@@ -55,47 +59,42 @@ def ingest_reports(
     codes: Callable[[], DataFrame],
     day_table: str,
     marks: str,
-    checkpoint: str,
+    ledger: str,
     file_pattern: str = REPORT_FILE,
-    files_per_batch: int = FILES_PER_BATCH,
+    days_per_batch: int = DAYS_PER_BATCH,
     order: tuple[str, ...] = LINE_ORDER,
     then: Callable[[DataFrame], None] | None = None,
-) -> StreamingQuery:
-    """Normalise the days of newly landed reports, then stop.
-
-    A day is written whole, from all files landed for it so far, and the mark moves
-    after its data, so a batch that is run again after a failure ends in the same
-    tables. Scans pass over empty files, so the days of those are looked up in the
-    listing: an empty report still makes a day of zeros. ``then`` gets the stored
-    rows of each batch's days.
+) -> None:
+    """Normalise the days of reports that landed or changed since the last run.
+
+    Each version of a file (path, modification time, length) is taken once; the ledger
+    is a keyed table of the versions taken. A streaming file source would pass over
+    files with old times, as copies that keep their times have, and over corrected
+    ones. A day is written whole, from all its files as they are now, the mark moves
+    after its data and the ledger last, so a run after a failure ends in the same
+    tables. An empty report makes a day of zeros. ``then`` gets the stored rows of each
+    batch's days.
     """
-
-    def load(batch: DataFrame, _batch_id: int) -> None:
-        spark = batch.sparkSession
-        # Days and file names only, of at most files_per_batch new files.
-        arrived = batch.select(path_number(F.col("path"), file_pattern).alias("date"))
-        filled = {row["date"] for row in arrived.distinct().collect()} - {None}
-        empty = {name_number(n, file_pattern) for n in empty_file_names(spark, landing)}
-        empty -= {None}
-        numbers = filled | (empty - _stored_days(spark, day_table, empty))
-        days = days_of(spark, numbers)
-        if numbers:
-            names = file_names(spark, landing)
-            paths = [name for name in names if name_number(name, file_pattern) in numbers]
-            rows = read_positions(spark, paths, file_pattern)
-            write_days(merge_days(codes(), latest_positions(rows, order), days), day_table)
-        # By now all empty days are stored, if not by this run of the batch.
-        advance_mark(spark, marks, LATEST_DAY, max(filled | empty, default=None))
-        if numbers and then is not None:
-            then(spark.read.parquet(day_table).join(F.broadcast(days), "date", "left_semi"))
-
-    return (
-        arriving_files(spark, landing, files_per_batch)
-        .writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    pending = materialise(
+        pending_files(spark, landing, ledger).withColumn(
+            "date", path_number(F.col("path"), file_pattern)
+        )
     )
+    # Calendar days only.
+    numbers = sorted(r["date"] for r in pending.select("date").distinct().collect() if r["date"])
+    names = file_names(spark, landing) if numbers else []
+    for first in range(0, len(numbers), days_per_batch):
+        chosen = set(numbers[first : first + days_per_batch])
+        days = days_of(spark, chosen)
+        paths = [name for name in names if name_number(name, file_pattern) in chosen]
+        rows = read_positions(spark, paths, file_pattern)
+        write_days(merge_days(codes(), latest_positions(rows, order), days), day_table)
+        advance_mark(spark, marks, LATEST_DAY, max(chosen))
+        if then is not None:
+            then(spark.read.parquet(day_table).join(F.broadcast(days), "date", "left_semi"))
+        taken = pending.where(F.col("date").isin(list(chosen)))
+        upsert(taken.select("path", "modified", "length"), ledger, ["path"])
+        drop_old_versions(spark, ledger)
 
 
 def publish_records(

@@ -14,17 +14,21 @@ FIELDS = ("date", "code", "shorts", "total", "percent")
 
 
 def test_match_and_no_match(spark, rows_of):
-    codes = spark.createDataFrame([("TST", "test", "TEST"), ("OTH", "other", "X")], CODES)
+    maker = random.Random(15)
+    listed = [(f"L{n}", f"firm {n}", maker.choice(["Rail", "Ore"])) for n in range(12)]
+    held = {
+        f"L{n}": (maker.randint(1, 99), maker.randint(100, 999), n / 4) for n in range(5, 16)
+    }
+    codes = spark.createDataFrame(listed, CODES)
     positions = spark.createDataFrame(
-        [("TST", 20181001, 10, 20, 10.0), ("GONE", 20181001, 1, 1, 1.0)], POSITIONS
+        [(code, 20190517, *values) for code, values in held.items()], POSITIONS
     )
-    days = positions.select("date")
-    expected = [
-        (20181001, "OTH", "other", 0, 0, 0.0, "X"),
-        (20181001, "TST", "test", 10, 20, 10.0, "TEST"),
-    ]
-    assert rows_of(merge_days(codes, positions, days)) == expected
-    assert rows_of(merge_day(codes, positions, 20181001)) == expected
+    expected = sorted(
+        (20190517, code, name, *held.get(code, (0, 0, 0.0)), industry)
+        for code, name, industry in listed
+    )
+    assert rows_of(merge_days(codes, positions, positions.select("date"))) == expected
+    assert rows_of(merge_day(codes, positions, 20190517)) == expected
 
 
 def test_days_without_positions_are_zero_and_other_days_absent(spark, rows_of):

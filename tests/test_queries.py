@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import json
 import re
 
@@ -34,13 +35,14 @@ def test_row_counts_of_series_have_no_upper_bound():
 
 
 def test_top_shorts_in_order(spark):
+    places = list(range(40))
+    random.Random(5).shuffle(places)
     ranked = spark.createDataFrame(
-        [(1, "TST", 0.32), (0, "TST2", 0.62), (2, "LOW", 0.1)],
-        "Position bigint, Code string, Percent float",
+        [(n, f"Q{n}", 90.0 - n) for n in places], "Position bigint, Code string, Percent float"
     )
-    rows = queries.top_shorts(ranked, 2).collect()
-    assert [(r["position"], r["code"]) for r in rows] == [(0, "TST2"), (1, "TST")]
-    assert len(queries.top_shorts(ranked, 50).collect()) == 3
+    rows = queries.top_shorts(ranked, 12).collect()
+    assert [(r["position"], r["code"]) for r in rows] == [(n, f"Q{n}") for n in range(12)]
+    assert len(queries.top_shorts(ranked, 50).collect()) == 40
 
 
 def test_stored_floats_and_unreadable_numbers(spark):
@@ -87,17 +89,17 @@ def test_top_movers_of_a_table_without_a_column(spark):
 
 def test_coded_movers(spark):
     text = "Code string, " + ", ".join(f"{c} string" for c in CHANGES)
-    coded = spark.createDataFrame(
-        [("A", "0.32", "1.32", "2.32", "3.32"), ("B", "0.32", "x", "2.32", "3.32"),
-         ("C", None, "1", "2", "3")],
-        text,
-    )
-    assert [tuple(r) for r in queries.coded_movers(coded, "A").collect()] == [
-        ("A", 0.32, 1.32, 2.32, 3.32)
-    ]
-    for code in ("B", "C", "missing"):
-        assert queries.coded_movers(coded, code).collect() == []
-    assert queries.coded_movers(coded.drop("YearChange"), "A").collect() == []
+    maker = random.Random(6)
+    whole = {f"K{n}": [maker.randint(-80, 80) / 16 for _ in CHANGES] for n in range(9)}
+    rows = [(code, *map(str, values)) for code, values in whole.items()]
+    rows[3] = (*rows[3][:3], "n/a", *rows[3][4:])
+    rows[5] = (rows[5][0], None, *rows[5][2:])
+    coded = spark.createDataFrame(rows, text)
+    for n, (code, values) in enumerate(whole.items()):
+        found = [tuple(r) for r in queries.coded_movers(coded, code).collect()]
+        assert found == ([] if n in (3, 5) else [(code, *values)])
+    assert queries.coded_movers(coded, "missing").collect() == []
+    assert queries.coded_movers(coded.drop("YearChange"), "K1").collect() == []
 
 
 def series_table(spark, tmp_path):

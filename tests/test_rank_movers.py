@@ -167,30 +167,56 @@ ORDERED_TEXT = ", ".join(f"{name} string" for name in movers.ORDERED_COLUMNS)
 CODED_TEXT = ", ".join(f"{name} string" for name in movers.CODED_COLUMNS)
 
 
+def number(text):
+    """What a change reads as: missing is zero, anything but a number is None."""
+    if text is None:
+        return 0.0
+    try:
+        return float(text)
+    except ValueError:
+        return None
+
+
+def broken(maker, rows):
+    """Rows with some slots missing or unreadable."""
+    harmed = []
+    for row in rows:
+        row = list(row)
+        for _ in range(maker.choice([0, 0, 1, 2])):
+            row[maker.randrange(len(row))] = maker.choice([None, None, "?", "4,5"])
+        harmed.append(tuple(row))
+    return harmed
+
+
 def test_decoding_ordered_rows(spark, rows_of):
-    good = ("7", "DAA", "2.5", "WBB", "0.0", "MCC", "0.75", "YDD", "31")
-    rows = [
-        good,
-        (None, *good[1:]),
-        ("x", *good[1:]),
-        (*good[:3], None, *good[4:]),
-        (*good[:2], "2.x", *good[3:]),
-        ("6", "DAA", None, *good[3:]),
+    maker = random.Random(77)
+    whole = [
+        (str(n), *(x for h in "pqrs" for x in (f"{h.upper()}{n}", f"{maker.uniform(-9, 9):.3f}")))
+        for n in range(1, 120)
     ]
+    rows = broken(maker, whole)
+    wanted = []
+    for row in rows:
+        changes = [number(text) for text in row[2::2]]
+        rank = row[0] if row[0] and row[0].isdigit() else None
+        if rank and None not in changes and None not in row[1::2]:
+            pairs = (x for pair in zip(row[1::2], changes, strict=True) for x in pair)
+            wanted.append((int(rank), *pairs))
+    assert 20 < len(wanted) < 110
     decoded = movers.decode_ordered(spark.createDataFrame(rows, ORDERED_TEXT))
-    assert rows_of(decoded) == [
-        (6, "DAA", 0.0, "WBB", 0.0, "MCC", 0.75, "YDD", 31.0),
-        (7, "DAA", 2.5, "WBB", 0.0, "MCC", 0.75, "YDD", 31.0),
-    ]
+    assert rows_of(decoded) == sorted(wanted)
 
 
 def test_decoding_coded_rows(spark, rows_of):
-    rows = [
-        ("AAA", "2.5", "0.0", "0.75", "1.5"),
-        ("BAD", "", "0.0", "0.75", "1.5"),
-        ("TXT", "1", "two", "0.75", "1.5"),
-        (None, "1", "2", "3", "4"),
-        ("NUL", None, "2", "3", "4"),
+    maker = random.Random(78)
+    whole = [
+        (f"C{n:03}", *(f"{maker.uniform(-9, 9):.3f}" for _ in range(4))) for n in range(120)
+    ]
+    rows = broken(maker, whole) + [("EMPTY", "", "1", "1", "1")]
+    wanted = [
+        (row[0], *map(number, row[1:]))
+        for row in rows
+        if row[0] is not None and None not in map(number, row[1:])
     ]
     decoded = movers.decode_coded(spark.createDataFrame(rows, CODED_TEXT))
-    assert rows_of(decoded) == [("AAA", 2.5, 0.0, 0.75, 1.5), ("NUL", 0.0, 2.0, 3.0, 4.0)]
+    assert rows_of(decoded) == sorted(wanted)

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 
@@ -18,22 +19,22 @@ def test_new_files_are_taken_once(spark, tmp_path, rows_of):
     def codes():
         return latest_listing(reports.listing(lines.read_lines(spark, listing)))
 
-    def run(files_per_batch=1000):
+    def run(days_per_batch=31):
         ingest_reports(
             spark,
             landing,
             codes,
             table,
             mark,
-            str(tmp_path / "progress"),
-            files_per_batch=files_per_batch,
+            str(tmp_path / "ledger"),
+            days_per_batch=days_per_batch,
             then=lambda rows: batches.append({r["date"] for r in rows.collect()}),
-        ).awaitTermination()
+        )
 
     def stored():
         return rows_of(spark.read.parquet(table), "date", "code", "shorts")
 
-    run(files_per_batch=3)
+    run(days_per_batch=3)
     assert sorted(map(len, batches)) == [1, 3], batches
     first = stored()
     assert first == [
@@ -81,8 +82,8 @@ def test_a_batch_that_is_run_again_ends_in_the_same_tables(spark, tmp_path, rows
 
     def run():
         ingest_reports(
-            spark, landing, codes, table, mark, str(tmp_path / "progress"), then=fail_once
-        ).awaitTermination()
+            spark, landing, codes, table, mark, str(tmp_path / "ledger"), then=fail_once
+        )
 
     with pytest.raises(Exception, match="lost"):
         run()
@@ -103,8 +104,8 @@ def test_a_day_in_several_files_is_whole_whenever_they_arrive(spark, tmp_path, r
     def run():
         ingest_reports(
             spark, str(landing), codes, str(tmp_path / "t"), str(tmp_path / "m"),
-            str(tmp_path / "p"), files_per_batch=1,
-        ).awaitTermination()
+            str(tmp_path / "p"), days_per_batch=1,
+        )
         return rows_of(spark.read.parquet(str(tmp_path / "t")), "date", "code", "shorts")
 
     report(landing / "a", "20181001", "x\tAAA\t1\t1\t1\n")
@@ -113,6 +114,32 @@ def test_a_day_in_several_files_is_whole_whenever_they_arrive(spark, tmp_path, r
     assert run() == [(20181001, "AAA", 1), (20181001, "BBB", 2)]
 
 
+def test_late_corrected_and_emptied_reports_are_taken(spark, tmp_path, rows_of):
+    listing, _ = folder(tmp_path)
+    landing, table = tmp_path / "lots", str(tmp_path / "t")
+
+    def run():
+        ingest_reports(
+            spark,
+            str(landing),
+            lambda: latest_listing(reports.listing(lines.read_lines(spark, listing))),
+            table,
+            str(tmp_path / "m"),
+            str(tmp_path / "l"),
+        )
+        return rows_of(spark.read.parquet(table).where("code = 'AAA'"), "date", "shorts")
+
+    report(landing, "20181001", "x\tAAA\t1\t1\t1\n")
+    assert run() == [(20181001, 1)]
+    late = report(landing, "20180903", "x\tAAA\t7\t1\t1\n")
+    os.utime(late, (1_500_000_000, 1_500_000_000))
+    assert run() == [(20180903, 7), (20181001, 1)]
+    report(landing, "20181001", "x\tAAA\t95\t1\t1\n")
+    assert run() == [(20180903, 7), (20181001, 95)]
+    report(landing, "20180903", "")
+    assert run() == [(20180903, 0), (20181001, 95)]
+
+
 def test_published_records(spark, tmp_path):
     source, out = str(tmp_path / "in"), tmp_path / "out"
     spark.createDataFrame([("A", 1), ("B", 2)], "code string, n int").write.parquet(source)
