@@ -26,7 +26,7 @@ TRAINING_ROWS = 700
 EPOCHS = 8
 UNKNOWN = "und"
 # Documents whose best language scores less are rejected by the pipeline.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 _BATCH_WINDOWS = 512
 
 
