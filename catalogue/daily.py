@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue import inputs, sql
+from ebbtide.functions.numbers import NO_BASELINE
 from ebbtide.operators.rank import all_ranked
 from ebbtide.plans import movers, rankings
 from ebbtide.plans.normalise import last_day
@@ -123,6 +124,44 @@ ANCHOR_VIEWS_SQL = f"""WITH snap AS MATERIALIZED ({sql.LINEITEM_SNAPSHOTS}),
     FROM latest l LEFT JOIN month m ON l.code = m.code GROUP BY 1, 2"""
 
 
+_MOVED = """moved AS (
+    SELECT l.code AS code, l.percent - d.percent AS day, l.percent - w.percent AS week,
+        l.percent - m.percent AS month, l.percent - y.percent AS year
+    FROM latest l LEFT JOIN day d ON l.code = d.code LEFT JOIN week w ON l.code = w.code
+        LEFT JOIN month m ON l.code = m.code LEFT JOIN year y ON l.code = y.code)"""
+
+
+def coded_movers_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes per code as SQL over the five views."""
+    day = inputs.event_day(spark, sf_dir)
+    movers.create_anchor_views(_event_anchor_snapshots(spark, sf_dir, day), day)
+    columns = ", ".join(
+        f"coalesce({h}, {NO_BASELINE}D) AS {h.title()}Change" for h in sql.HORIZONS
+    )
+    return movers.run_sql(spark, f"WITH {_MOVED} SELECT code AS Code, {columns} FROM moved")
+
+
+def ordered_movers_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four rankings side by side as SQL over the five views."""
+    movers.create_anchor_views(_lineitem_anchor_snapshots(spark, sf_dir), inputs.LINEITEM_DAY)
+    columns = ", ".join(
+        f"""max(CASE WHEN horizon = '{h}' THEN code END) AS {h.title()}Code,
+        max(CASE WHEN horizon = '{h}' THEN coalesce(change, {NO_BASELINE}D) END)
+            AS {h.title()}Change"""
+        for h in sql.HORIZONS
+    )
+    return movers.run_sql(
+        spark,
+        f"""WITH {_MOVED}, placed AS (
+            SELECT code, horizon, change, row_number() OVER (
+                PARTITION BY horizon ORDER BY abs(change) NULLS LAST, code) AS Position
+            FROM moved UNPIVOT INCLUDE NULLS
+                (change FOR horizon IN ({", ".join(sql.HORIZONS)})) u)
+        SELECT Position, {columns} FROM placed
+        WHERE Position <= {movers.REPORTED_RANKS} GROUP BY Position""",
+    )
+
+
 def decode_ordered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movers.decode_ordered(movers.as_text(ordered_movers_positions(spark, sf_dir)))
 
@@ -167,6 +206,8 @@ QUERIES = {
         sql.coded_movers(sql.LINEITEM_POSITIONS, sql.LINEITEM_DAY),
     ),
     "anchor_views_sql": (anchor_views_sql, ANCHOR_VIEWS_SQL),
+    "coded_movers_sql": (coded_movers_sql, EVENT_CODED),
+    "ordered_movers_sql": (ordered_movers_sql, LINEITEM_ORDERED),
     "decode_ordered_rows": (decode_ordered_rows, DECODED_ORDERED),
     "decode_coded_rows": (decode_coded_rows, LINEITEM_CODED),
 }

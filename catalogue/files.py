@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogue import inputs, sql
+from ebbtide.functions.dates import anchor_numbers
 from ebbtide.operators.merge import merge_days
 from ebbtide.plans.movers import run_sql
 from ebbtide.plans.normalise import land_lines, latest_listing, latest_positions
@@ -18,9 +19,6 @@ from ebbtide.sinks.days import write_documents
 from ebbtide.sources import lines, reports, snapshots
 from ebbtide.streaming.ingest import ingest_reports, publish_records
 
-# How the files made here carry their day.
-DAY_FOLDER = r"report_date=(\d{8})/"
-
 # Listed codes per file made here.
 CODES_PER_FILE = 10_000
 
@@ -72,15 +70,22 @@ def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land_reports(report: DataFrame, path: str) -> None:
-    """Report lines into a folder per day, the days shared out over tasks."""
+    """Report lines as one file per day, under the name that a report has."""
     (
-        report.hint("rebalance", F.col("report_date"))
+        report.repartition("report_date")
         .sortWithinPartitions("report_date", "event_id")
         .select("report_date", "line")
         .write.mode("append")
         .partitionBy("report_date")
         .text(path)
     )
+    spark = report.sparkSession
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folders = name(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in folders.globStatus(name(f"{path}/report_date=*/part-*")):
+        folder = found.getPath().getParent()
+        day = folder.getName().removeprefix("report_date=")
+        folders.rename(found.getPath(), name(folder, f"RR{day}-001-SSDailyAggShortPos.csv"))
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> str:
@@ -90,18 +95,18 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
 
 
 def tsv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = reports.read_positions(spark, _landed(spark, sf_dir), DAY_FOLDER)
+    rows = reports.read_positions(spark, _landed(spark, sf_dir))
     percent = F.col("percent").cast("double").alias("percent")
     return rows.select("name", "code", "shorts", "total", percent, "date")
 
 
 def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = lines.read_lines(spark, _landed(spark, sf_dir))
-    return reports.rejected_positions(landed, DAY_FOLDER).select("line", "date")
+    return reports.rejected_positions(landed).select("line", "date")
 
 
 def report_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.report_days(spark, _landed(spark, sf_dir), DAY_FOLDER)
+    return reports.report_days(spark, _landed(spark, sf_dir))
 
 
 ACCEPTED = f"""SELECT 'USER ' || code AS name, code, shorts, total,
@@ -196,22 +201,27 @@ def snapshot_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SQL that unnests the documents of the line-item days, day by day."""
+    """SQL over the documents of all event days that keeps some by their path."""
     path = scratch_path(spark, "documents")
-    days = inputs.anchor_days(inputs.LINEITEM_DAY)
-    write_documents(inputs.lineitem_snapshots(spark, sf_dir, days), path, 10_000)
+    write_documents(inputs.event_snapshots(spark, sf_dir), path, 10_000)
     snapshots.create_document_view(spark, path, "daily_documents", DOCUMENT)
+    day = inputs.event_day(spark, sf_dir)
+    numbers = spark.range(1).select(*anchor_numbers(day).values()).first()
+    wanted = ", ".join(f"'{number}'" for number in numbers)
     return run_sql(
         spark,
-        r"""SELECT regexp_extract(path, r'date=(\d*)(?=/)', 1) AS dateTime,
-            stock.code AS code, stock.percent AS percent
-        FROM daily_documents LATERAL VIEW explode(result) t AS stock""",
+        rf"""WITH documents AS (
+            SELECT regexp_extract(path, r'date=(\d*)(?=/)', 1) AS dateTime, result
+            FROM daily_documents)
+        SELECT dateTime, stock.code AS code, stock.percent AS percent
+        FROM documents LATERAL VIEW explode(result) t AS stock
+        WHERE dateTime IN ({wanted})""",
     )
 
 
 DOCUMENT_VIEW = f"""SELECT cast(date AS varchar) AS "dateTime", code, percent
-    FROM ({sql.LINEITEM_SNAPSHOTS}) s WHERE date IN (
-    {', '.join(sql.anchor(p, sql.LINEITEM_DAY) for p in inputs.PERIODS)})"""
+    FROM ({sql.EVENT_SNAPSHOTS}) s WHERE date IN (
+    {', '.join(sql.anchor(p, sql.EVENT_DAY) for p in inputs.PERIODS)})"""
 
 
 def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,13 +243,12 @@ FROM_FILES = sql.snapshots(
 
 
 def normalise_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every report file normalised in one job."""
+    """Every report file normalised in one job; of a code's lines the last one counts."""
     path = _landed(spark, sf_dir)
-    rows = reports.read_positions(spark, path, DAY_FOLDER)
     merged = merge_days(
         inputs.event_codes(spark, sf_dir),
-        latest_positions(rows, order=("shorts",)),
-        reports.report_days(spark, path, DAY_FOLDER),
+        latest_positions(reports.read_positions(spark, path)),
+        reports.report_days(spark, path),
     )
     return merged.withColumn("percent", F.col("percent").cast("double"))
 
@@ -263,8 +272,6 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             table,
             mark,
             ledger,
-            file_pattern=DAY_FOLDER,
-            order=("shorts",),
         )
     newest = marks.read_mark(spark, mark, marks.LATEST_DAY)
     return spark.read.parquet(table).select(
@@ -283,7 +290,7 @@ def changed_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_reports(report.where(F.col("report_date") <= middle), path)
     mark = lines.newest_change(lines.read_lines(spark, path)).first()["mark"]
     land_reports(report.where(F.col("report_date") > middle), path)
-    rows = reports.positions(lines.changed_lines(spark, path, mark), DAY_FOLDER)
+    rows = reports.positions(lines.changed_lines(spark, path, mark))
     return rows.select("code", "shorts", "date")
 
 

@@ -47,6 +47,15 @@ def _on_days(rows: DataFrame, moment: str, days: list[Column] | None) -> DataFra
     return rows.where(wanted)
 
 
+def _within(rows: DataFrame, moment: str, span: tuple[Column, Column] | None) -> DataFrame:
+    """Rows from one day to another, both included, as a range of the raw column."""
+    if span is None:
+        return rows
+    first, last = span
+    end = F.date_add(last, 1).cast("timestamp_ntz")
+    return rows.where((F.col(moment) >= first.cast("timestamp_ntz")) & (F.col(moment) < end))
+
+
 def event_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("code"),
@@ -56,10 +65,14 @@ def event_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_reports(
-    spark: SparkSession, sf_dir: str, days: list[Column] | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    days: list[Column] | None = None,
+    span: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Every event as a reported position; ``event_id`` orders the reports."""
-    return _on_days(table(spark, sf_dir, "events"), "ts", days).select(
+    rows = _within(_on_days(table(spark, sf_dir, "events"), "ts", days), "ts", span)
+    return rows.select(
         F.col("user_id").cast("string").alias("code"),
         day_number(F.col("ts").cast("date")).alias("date"),
         F.col("event_id").alias("shorts"),
@@ -137,9 +150,13 @@ def event_snapshots(
     )
 
 
-def event_snapshots_of(spark: SparkSession, sf_dir: str, chosen: DataFrame) -> DataFrame:
-    """The codes in ``chosen``, a short list, on every day that has events."""
-    reports, few = event_reports(spark, sf_dir), F.broadcast(chosen.select("code"))
+def event_snapshots_of(
+    spark: SparkSession, sf_dir: str, chosen: DataFrame, span: tuple[Column, Column]
+) -> DataFrame:
+    """The codes in ``chosen``, a list that a limit keeps short, on every day of the
+    span that has events."""
+    reports = event_reports(spark, sf_dir, span=span)
+    few = F.broadcast(chosen.select("code"))
     return merge_days(
         event_codes(spark, sf_dir).join(few, "code", "left_semi"),
         _latest_events(reports.join(few, "code", "left_semi")),
@@ -147,9 +164,11 @@ def event_snapshots_of(spark: SparkSession, sf_dir: str, chosen: DataFrame) -> D
     )
 
 
-def event_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every code on the last day."""
-    day = event_day(spark, sf_dir)
+def event_snapshot(
+    spark: SparkSession, sf_dir: str, day: dt.date | None = None
+) -> DataFrame:
+    """Every code on the last day, which a caller may know already."""
+    day = day or event_day(spark, sf_dir)
     positions = event_positions(spark, sf_dir, [F.lit(day)])
     return merge_day(event_codes(spark, sf_dir), positions, int(f"{day:%Y%m%d}"))
 

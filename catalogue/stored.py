@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue import daily, inputs, sql
+from ebbtide.functions.dates import shifted
 from ebbtide.operators import lookup
-from ebbtide.plans import jobs, queries, rankings
+from ebbtide.plans import jobs, movers, queries, rankings
 from ebbtide.schemas import MARKS
-from ebbtide.session import scratch_path
+from ebbtide.session import materialise, scratch_path
 from ebbtide.sinks import keyed, marks
 from ebbtide.sinks.days import write_days
 from ebbtide.sinks.records import keyed_records
@@ -86,6 +89,47 @@ def coded_movers_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queries.coded_movers(mover_tables(spark, sf_dir)[1], _leader(spark, sf_dir))
 
 
+def _harmed(rows: DataFrame, number: Column, harms: dict[int, tuple[str, str | None]]):
+    """Rows as text; by the last digit of ``number`` a column holds something else."""
+    text, digit = movers.as_text(rows.withColumn("_digit", number % 10)), F.col("_digit")
+    for last, (column, value) in harms.items():
+        other = F.lit(value).cast("string")
+        text = text.withColumn(column, F.when(digit == last, other).otherwise(F.col(column)))
+    return text.drop("_digit")
+
+
+def decode_ordered_harmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered movers as text with missing and unreadable slots, decoded."""
+    rows = mover_tables(spark, sf_dir)[0]
+    harms = {
+        1: ("MonthChange", None), 2: ("YearChange", "1,5"), 3: ("WeekCode", None),
+        4: ("Position", "4th"), 5: ("Position", None),
+    }
+    return movers.decode_ordered(_harmed(rows, F.col("Position"), harms))
+
+
+def decode_coded_harmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes per code as text with missing and unreadable slots, decoded."""
+    rows = mover_tables(spark, sf_dir)[1]
+    harms = {1: ("DayChange", None), 2: ("WeekChange", "n/a"), 3: ("Code", None)}
+    return movers.decode_coded(_harmed(rows, F.col("Code").cast("long"), harms))
+
+
+def top_movers_harmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The movers query over slots that are missing or unreadable."""
+    rows = mover_tables(spark, sf_dir)[0]
+    harms = {1: ("MonthChange", None), 2: ("DayChange", "--"), 3: ("WeekCode", None)}
+    harmed = _harmed(rows, F.col("Position"), harms)
+    return queries.top_movers(harmed, queries.row_count("50"))
+
+
+def coded_movers_harmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows per code that the query reads, some of them harmed."""
+    rows = mover_tables(spark, sf_dir)[1]
+    harms = {1: ("DayChange", None), 2: ("YearChange", "n/a")}
+    return queries.decode_coded_rows(_harmed(rows, F.col("Code").cast("long"), harms))
+
+
 def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = mover_tables(spark, sf_dir)[1]
     return lookup.by_key(coded, "Code", _leader(spark, sf_dir))
@@ -119,11 +163,18 @@ def scan_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.after(series_table(spark, sf_dir), "Date", low)
 
 
-def _top_series(spark: SparkSession, sf_dir: str, ranked, series) -> DataFrame:
+def scan_since_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leading code's series from the day of a mark on."""
+    day = inputs.event_day(spark, sf_dir)
+    mark = f"{day - dt.timedelta(days=3)}T09:30:00+02:00"
+    low, high = queries.search_window("latest", day, mark)
+    series = series_table(spark, sf_dir)
+    return lookup.in_range(series, "Code", _leader(spark, sf_dir), "Date", low, high)
+
+
+def _top_series(ranked: DataFrame, series: DataFrame, day: dt.date) -> DataFrame:
     count = queries.row_count("100", most=None)
-    return queries.top_series(
-        ranked, series, count, "month", inputs.event_day(spark, sf_dir)
-    )
+    return queries.top_series(ranked, series, count, "month", day)
 
 
 def _points(per_code: DataFrame) -> DataFrame:
@@ -136,25 +187,28 @@ def _points(per_code: DataFrame) -> DataFrame:
 def top_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The series of the leading codes, straight from the reports.
 
-    Reports of other codes are left out before they are merged.
+    The codes are ranked once and stored. Reports of other codes are left out before
+    they are merged, those of other days where they are read.
     """
-    ranked = rankings.leading_codes(inputs.event_snapshot(spark, sf_dir), 100)
+    day = inputs.event_day(spark, sf_dir)
+    ranked = materialise(rankings.leading_codes(inputs.event_snapshot(spark, sf_dir, day), 100))
     chosen = ranked.select(F.col("Code").alias("code"))
-    days = inputs.event_snapshots_of(spark, sf_dir, chosen)
+    span = shifted("month", day), F.lit(day)
+    days = inputs.event_snapshots_of(spark, sf_dir, chosen, span)
     series = keyed.stored_rows(rankings.series_rows(days))
-    return _points(_top_series(spark, sf_dir, ranked, series))
+    return _points(_top_series(ranked, series, day))
 
 
 def top_series_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from the stored ranking and time series."""
     ranked, series = ranked_table(spark, sf_dir), series_table(spark, sf_dir)
-    return _points(_top_series(spark, sf_dir, ranked, series))
+    return _points(_top_series(ranked, series, inputs.event_day(spark, sf_dir)))
 
 
 def top_series_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole answer as one JSON object, read back as rows."""
     ranked, series = ranked_table(spark, sf_dir), series_table(spark, sf_dir)
-    per_code = _top_series(spark, sf_dir, ranked, series)
+    per_code = _top_series(ranked, series, inputs.event_day(spark, sf_dir))
     shape = "map<string,array<struct<Date:int,Percent:double>>>"
     return (
         queries.series_json(per_code)
@@ -181,6 +235,25 @@ TOP_SERIES = f"""WITH snap AS MATERIALIZED ({sql.EVENT_SNAPSHOTS}),
 _WEEK_START = sql.number(sql.shifted("week", sql.EVENT_DAY))
 
 
+_ORDERED_ROWS = _rounded(daily.EVENT_ORDERED)
+DECODED_ORDERED = f"""SELECT * REPLACE (cast("Position" AS bigint) AS "Position",
+    CASE WHEN "Position" % 10 = 1 THEN 0.0::DOUBLE ELSE "MonthChange" END AS "MonthChange")
+    FROM ({_ORDERED_ROWS}) o WHERE "Position" % 10 NOT IN (2, 3, 4, 5)"""
+DECODED_CODED = f"""SELECT * REPLACE (
+    CASE WHEN "Code" LIKE '%1' THEN 0.0::DOUBLE ELSE "DayChange" END AS "DayChange")
+    FROM ({_rounded(daily.EVENT_CODED)}) c WHERE right("Code", 1) NOT IN ('2', '3')"""
+_NUMBERS = ['"order"', *(f'"{h}Change"' for h in sql.HORIZONS)]
+_NO_NUMBERS = ", ".join(
+    f"CASE WHEN n % 10 IN (1, 2) THEN 0 ELSE {name} END AS {name}" for name in _NUMBERS
+)
+_NO_CODES = ", ".join(
+    f"""CASE WHEN n % 10 = 3 THEN '' ELSE "{h}Code" END AS "{h}Code" """ for h in sql.HORIZONS
+)
+TOP_HARMED = f"""SELECT * EXCLUDE (n) REPLACE ({_NO_NUMBERS}, {_NO_CODES})
+    FROM (SELECT *, "order" AS n FROM ({_renamed(daily.EVENT_ORDERED, "order")}) r) q
+    WHERE n < 50"""
+
+
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "days")
     write_days(inputs.event_snapshots(spark, sf_dir), path)
@@ -283,6 +356,13 @@ QUERIES = {
         coded_movers_lookup,
         _renamed(daily.EVENT_CODED, "code") + f' WHERE "Code" = {LEADER}',
     ),
+    "decode_ordered_harmed": (decode_ordered_harmed, DECODED_ORDERED),
+    "decode_coded_harmed": (decode_coded_harmed, DECODED_CODED),
+    "top_movers_harmed": (top_movers_harmed, TOP_HARMED),
+    "coded_movers_harmed": (
+        coded_movers_harmed,
+        _renamed(daily.EVENT_CODED, "code") + """ WHERE right("Code", 1) NOT IN ('1', '2')""",
+    ),
     "point_lookup": (
         point_lookup,
         _rounded(daily.EVENT_CODED) + f' WHERE "Code" = {LEADER}',
@@ -305,6 +385,11 @@ QUERIES = {
         SERIES + f""" WHERE code = {LEADER} AND date BETWEEN {_WEEK_START}
         AND {sql.number(sql.EVENT_DAY)}""",
     ),
+    "scan_since_mark": (
+        scan_since_mark,
+        SERIES + f""" WHERE code = {LEADER} AND date BETWEEN
+        {sql.number(sql.days_back(sql.EVENT_DAY, 3))} AND {sql.number(sql.EVENT_DAY)}""",
+    ),
     "scan_after": (scan_after, SERIES + f" WHERE date > {_WEEK_START}"),
     "top_series": (top_series, TOP_SERIES),
     "top_series_stored": (top_series_stored, TOP_SERIES),
