@@ -37,3 +37,21 @@ def test_query_equals_its_sql(spark, connection, name):
     want = ordered_rows([d[0] for d in answer.description], answer.fetchall())
     assert got == want
     assert got[1], "no rows"
+
+
+def test_top_series_reads_its_window_only(spark, plan_of):
+    plan = plan_of(contract.queries()["top_series"](spark, str(TABLES)))
+    parts = [part for part in plan.split("\n\n") if "events.parquet" in part]
+    assert 1 <= len(parts) <= 2
+    for part in parts:
+        pushed = part.split("PushedFilters:")[1]
+        assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
+
+
+def test_reports_land_under_their_own_names(spark, tmp_path):
+    files.land_reports(files.report_lines(spark, str(TABLES)), str(tmp_path / "landing"))
+    names = [path.name for path in (tmp_path / "landing").rglob("*.csv")]
+    days = spark.read.parquet(str(TABLES / "events.parquet")).selectExpr("date(ts)").distinct()
+    assert sorted(names) == sorted(
+        f"RR{row[0]:%Y%m%d}-001-SSDailyAggShortPos.csv" for row in days.collect()
+    )
