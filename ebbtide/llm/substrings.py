@@ -332,7 +332,7 @@ def repeated_passages(
 def _with_text(given: DataFrame, spans: DataFrame) -> DataFrame:
     """The texts of the documents in ``spans``; one of rows that repeat. Documents of
     one id are told apart by the digest of their words."""
-    squeezed = F.regexp_replace(F.regexp_replace("text", r"[ \t-\r]+", " "), "^ | $", "")
+    squeezed = F.regexp_replace(F.regexp_replace("text", r"[ \t-\r]+", " "), r"^ | \z", "")
     digested = given.withColumn("sha", F.unhex(F.sha2(squeezed, 256)))
     one = F.row_number().over(Window.partitionBy("rank", "sha").orderBy("rank"))
     found = digested.join(spans, ["rank", "sha"]).withColumn("nth", one)

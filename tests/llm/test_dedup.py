@@ -145,6 +145,15 @@ def test_repeated_passages(documents, monkeypatch, window, meeting):
     assert sorted(got) == expected_passages(rows, window)
 
 
+def test_passages_beside_line_ends_that_are_words(documents):
+    body = " ".join(f"w{i}" for i in range(30))
+    ends = ["", " \u2028", " \x85", "\u2029 ", " \r\n", "\n\n", " \u2028\r\n"]
+    rows = list(enumerate(body + end for end in ends)) + [(9, "\u2028 " + body)]
+    found = substrings.repeated_passages(documents([t for _, t in rows], [k for k, _ in rows]), window=12)
+    got = [(r.id, r.n_words, r.n_removed, r.kept_sha.hex()) for r in found.collect()]
+    assert sorted(got) == expected_passages(rows, 12)
+
+
 @pytest.mark.parametrize("length", [1, 2, 5, 16])
 def test_index_finds_every_window(length):
     maker = np.random.default_rng(length)
