@@ -14,8 +14,8 @@ equals the library's; the greatest sum of scores would not.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,8 @@ from ebbtide.llm.shared import known, ship, slices
 # Fixed value: what stands for a space in pieces.
 MARK = "▁"
 _LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]")
-# Words a worker's cache holds before it starts anew, and pairs of pieces.
+# Words a worker's cache holds before it drops those not met just then, and pairs of
+# pieces before they start anew.
 CACHED = 250_000
 
 
@@ -54,7 +55,11 @@ class Vocabulary:
         self.ids = {self.pieces[i]: i for i in plain}
         self.scores = {self.pieces[i]: model.get_score(i) for i in plain}
         self.bytes = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.longest = max(map(len, self.ids))
+        # How long the pieces are that end with some three characters, longest first.
+        sizes: dict[str, set[int]] = {}
+        for piece in self.ids:
+            sizes.setdefault(piece[-3:], {1, 2}).add(len(piece))
+        self.sizes = {end: tuple(sorted(s, reverse=True)) for end, s in sizes.items()}
         # Where no piece has two characters side by side, no merge crosses.
         pairs = {piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)}
         alone = "".join(c for c in "\n\t\r" if not any(c in pair for pair in pairs))
@@ -129,12 +134,12 @@ class Vocabulary:
         self.fits[before, piece] = fits
         return fits
 
-    def segment(self, words: list[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
-        """Each of the sorted ``words`` with the ids of its pieces."""
+    def segment(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Each of the sorted ``words`` with the ids of its pieces, four bytes each."""
         last: list[str] = [""]
         path: list[tuple[int, int]] = [(0, 0)]
         before = ""
-        ids, longest, fits, pair_fits = self.ids, self.longest, self.fits, self.pair_fits
+        ids, sizes, fits, pair_fits = self.ids, self.sizes, self.fits, self.pair_fits
         for word in words:
             shared = 0
             for one, two in zip(before, word, strict=False):
@@ -143,9 +148,10 @@ class Vocabulary:
                 shared += 1
             del last[shared + 1 :], path[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
+                for size in sizes.get(word[end - 3 : end], (2, 1)) if end > 2 else (2, 1):
+                    start = end - size
                     piece = word[start:end]
-                    if piece in ids:
+                    if start >= 0 and piece in ids:
                         ok = fits.get((last[start], piece))
                         if ok or (ok is None and pair_fits(last[start], piece)):
                             last.append(piece)
@@ -158,7 +164,7 @@ class Vocabulary:
             yield word, self._back(word, path)
             before = word
 
-    def _back(self, word: str, path: list[tuple[int, int]]) -> tuple[int, ...]:
+    def _back(self, word: str, path: list[tuple[int, int]]) -> bytes:
         out, end = [], len(word)
         while end:
             start, piece = path[end]
@@ -167,7 +173,7 @@ class Vocabulary:
             else:
                 out.extend(self.bytes[b] for b in reversed(word[start:end].encode()))
             end = start
-        return tuple(out[::-1])
+        return array("i", out[::-1]).tobytes()
 
     def _spelled(self, piece: int) -> bytes:
         name = self.pieces[piece]
@@ -179,20 +185,23 @@ class Vocabulary:
         return out.decode("utf-8", "replace").replace(MARK, " ")[1:]
 
 
-def encoder(vocabulary: Vocabulary) -> Callable[[list[str]], list[list[int]]]:
+def encoder(vocabulary: Vocabulary) -> Callable[[list[str]], list[np.ndarray]]:
     """A function that encodes texts; words met before come from its cache."""
-    cache: dict[str, tuple[int, ...]] = {}
+    cache: dict[str, bytes] = {}
     find = vocabulary.words.findall
 
-    def encode(texts: list[str]) -> list[list[int]]:
+    def encode(texts: list[str]) -> list[np.ndarray]:
         split = [find(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         met = set().union(*split)
         new = met.difference(cache)
         if len(cache) + len(new) > CACHED:
+            # Words met just now stay: most of the others occur once.
+            again = {word: cache[word] for word in met.difference(new)}
             cache.clear()
-            new = met
+            cache.update(again)
         cache.update(vocabulary.segment(sorted(new)))
-        return [list(chain.from_iterable(map(cache.__getitem__, words))) for words in split]
+        found = (b"".join(map(cache.__getitem__, words)) for words in split)
+        return [np.frombuffer(ids, np.intc) for ids in found]
 
     return encode
 
@@ -219,9 +228,9 @@ def encode(
                 texts = whole[part]
                 found = encode(texts)
                 offsets = np.cumsum([0, *map(len, found)])
-                flat = np.fromiter(chain.from_iterable(found), np.int32, offsets[-1])
+                flat = np.concatenate([np.empty(0, np.intc), *found])
                 same = [
-                    vocabulary.decode(ids) == text.replace(MARK, " ")
+                    vocabulary.decode(ids.tolist()) == text.replace(MARK, " ")
                     for ids, text in zip(found, texts, strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(
