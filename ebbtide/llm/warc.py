@@ -24,6 +24,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Equal payloads of at least this many bytes are stored once.
 LEAST_SHARED_BYTES = 1000
 RECORDS_PER_FILE = 50_000
+# A text that more pieces than this share is joined to them in several tasks.
+PIECES_PER_TEXT = 1000
 
 
 def write_archives(
@@ -111,9 +113,11 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     """What every occurrence of a record's first line would be as a record, and where
     its successor would begin.
 
-    Rows ``file, block, seq, bytes`` (of the text up to the next occurrence), ``at``
-    (its place in the file), ``next``, the header's fields, and ``sha1`` of the payload
-    if it ends just before the next occurrence.
+    Rows ``file, block, seq, bytes`` (of the text up to the next occurrence),
+    ``content`` (that text's SHA-256), ``at`` (its place in the file), ``next``, the
+    header's fields, and ``sha1`` of the payload if it ends just before the next
+    occurrence. ``block`` and ``seq`` hold for this read alone: another may deal the
+    same files out otherwise.
     """
     length = _field(F.col("header"), "Content-Length")
     parts = _lines(spark, path).withColumns(
@@ -135,6 +139,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
         "block",
         "seq",
         "bytes",
+        F.unhex(F.sha2("value", 256)).alias("content"),
         (len(MAGIC) + F.col("start") + F.col("length") + len(END)).alias("size"),
         "start",
         "length",
@@ -239,17 +244,30 @@ def _joined_payloads(
     """``(file, at, sha1)`` of records whose payload holds a record's first line.
 
     Such a payload came in pieces: the record's own and those of the candidates up to
-    the next record, with that line between them. Their texts are read again.
+    the next record, with that line between them. Their texts are read again and found
+    by their SHA-256, as how a second read splits and numbers the files depends on the
+    executors there are by then.
     """
     so_far = Window.partitionBy("file").orderBy("at")
     owner = F.last(F.when(F.col("real"), F.col("at")), ignorenulls=True).over(so_far)
-    pieces = (
-        marked.select("file", "block", "seq", "bytes", "at", owner.alias("owner"))
-        .join(own.select("file", F.col("at").alias("owner"), "start", "length"), ["file", "owner"])
+    pieces = marked.select("file", "at", "content", owner.alias("owner")).join(
+        own.select("file", F.col("at").alias("owner"), "start", "length"), ["file", "owner"]
     )
-    texts = _lines(spark, path).withColumn("bytes", F.octet_length("value").cast("long"))
+    pieces = stored(pieces, "archive-pieces")
+    lots = F.ceil(F.count("*") / PIECES_PER_TEXT).cast("int").alias("lots")
+    needed = pieces.groupBy("content").agg(lots)
+    texts = (
+        _lines(spark, path)
+        .select(F.unhex(F.sha2("value", 256)).alias("content"), "value")
+        .join(needed, "content")
+        .dropDuplicates(["content"])
+        .select("content", "value", F.explode(F.expr("sequence(0, lots - 1)")).alias("lot"))
+    )
+    lot = F.pmod(F.xxhash64("file", "at"), F.coalesce("lots", F.lit(1))).cast("int")
     joined = (
-        pieces.join(texts, ["file", "block", "seq", "bytes"])
+        with_salted(pieces, needed.where("lots > 1"), "content")
+        .withColumn("lot", lot)
+        .join(texts, ["content", "lot"])
         .groupBy("file", "owner", "start", "length")
         .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("pieces"))
         .withColumn("text", F.array_join("pieces.value", MAGIC))

@@ -84,6 +84,33 @@ def test_small_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_second_read_dealt_otherwise(spark, tmp_path, monkeypatch, compression):
+    """As when executors are lost or added between the two reads of the archives."""
+    rows = pages()
+    path = str(tmp_path / "archive")
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    warc.write_archives(frame, path, compression=compression)
+    reachable = warc.reachable
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+
+    def then_fewer(nodes):
+        spark.conf.set("spark.sql.files.openCostInBytes", "1g")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+        return reachable(nodes)
+
+    largest = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(warc, "reachable", then_fewer)
+    monkeypatch.setattr(warc, "PIECES_PER_TEXT", 3, raising=False)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        assert read(spark, path) == expected(rows)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", largest)
+
+
 def test_empty_table(spark, tmp_path):
     path = str(tmp_path / "archive")
     warc.write_archives(spark.createDataFrame([], SCHEMA), path)
