@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from decimal import Decimal, localcontext
 
 import numpy as np
 import pytest
@@ -208,3 +209,37 @@ def test_poisson_inverts_its_distribution(spark, rate):
             term *= rate / k
             total += term
         assert count == k
+
+@pytest.mark.parametrize("rate", [499.5, 500.5, 1234.5, 80_000.25])
+def test_poisson_inverts_its_distribution_at_high_means(spark, rate):
+    chances = [0.0, 2**-52, 1e-9, 0.001, 0.1, 0.5, 0.9, 0.999, 1 - 1e-9]
+    frame = spark.createDataFrame([(c,) for c in chances], "c double")
+    got = [r[0] for r in frame.select(mixing.poisson(F.lit(rate), F.col("c"))).collect()]
+    with localcontext() as exact:
+        exact.prec, exact.Emin = 40, -999_999
+        term = total = (-Decimal(rate)).exp()
+        k, wanted = 0, []
+        for chance in chances:
+            while total <= Decimal(chance):
+                k += 1
+                term *= Decimal(rate) / k
+                total += term
+            wanted.append(k)
+    assert got == wanted
+
+
+def test_mixing_varies_at_high_means(documents):
+    """Of a source with little text, documents differ as a Poisson of their rate does."""
+    frame = documents(["abcd" * 5000] * 100, source="big").union(
+        documents(["abcd"] * 200, list(range(100, 300)), source="small")
+    )
+    rate = next(r.rate for r in mixing.rates(frame, None).collect() if r.source == "small")
+    assert rate > 1000
+    found = mixing.copies(frame).select("row.doc_id", "row.source", "copy")
+    made = found.where("source = 'small'").groupBy("doc_id").agg(
+        F.count("*"), F.countDistinct("copy"), F.min("copy"), F.max("copy")
+    ).collect()
+    assert all(r[1] == r[2] == r[4] and r[3] == 1 for r in made)
+    counts = np.array([r[1] for r in made])
+    assert len(counts) == 200 and abs(counts.mean() - rate) < 5 * (rate / 200) ** 0.5
+    assert 0.6 * rate < counts.var() < 1.5 * rate
