@@ -6,6 +6,7 @@ looked at. In a block, each fingerprint's distances to many reference fingerprin
 known. Pairs whose distances to one reference differ by more than the limit cannot be
 linked (the triangle inequality) and are discarded; the survivors are verified bit by
 bit. A block gives the links of a spanning forest, never all pairs of a dense group.
+Large blocks are split by more fields until all are small.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ SHINGLE = 3
 DISTANCE = 3
 SEED = 42
 PIVOTS = 24
+# A block of more distinct fingerprints is split; at least 8.
+MOST_BLOCK = 10_000
+# Large blocks whose numbers are broadcast; more are joined by salted shuffles.
+BROADCAST_BLOCKS = 100_000
 # Lowest bit and width of each field: as many fields differ at most as bits may.
 _FIELDS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 
@@ -149,21 +154,66 @@ def _links_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield found(rest_key, rest_fp)
 
 
-def links(values: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` among the distinct fingerprints ``fp`` that connect all that
-    differ in at most three bits."""
-    keys = []
+def finer_masks(mask: int) -> list[int]:
+    """``mask`` with each of four parts of its free bits fixed too. Fingerprints that
+    differ in at most three bits agree on one of the parts at least."""
+    free = [1 << bit for bit in range(64) if not mask >> bit & 1]
+    masks = [(mask & (1 << 64) - 1) | sum(free[part::4]) for part in range(4)]
+    return [m - (m >> 63 << 64) for m in masks]
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        block, mask, fp = (column.to_numpy() for column in batch.columns)
+        masks, which = np.unique(mask, return_inverse=True)
+        finer = np.array([finer_masks(int(m)) for m in masks], np.int64).reshape(-1, 4)
+        finer = finer[which].reshape(-1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(block, 4)), pa.array(finer), pa.array(np.repeat(fp, 4))],
+            ["block", "mask", "fp"],
+        )
+
+
+def _blocks(values: DataFrame) -> DataFrame:
+    """``(block, fp)``: every two fingerprints that differ in at most three bits meet in
+    a block, and none holds more than ``MOST_BLOCK``."""
+    chosen_masks = []
     for n, chosen in enumerate(itertools.combinations(_FIELDS, 3)):
         mask = sum(((1 << width) - 1) << low for low, width in chosen)
         mask -= (mask >> 63) << 64
-        keys.append(F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(mask))))
-    blocks = (
-        values.select(F.explode(F.array(*keys)).alias("block"), "fp")
-        .repartition("block")
-        .sortWithinPartitions("block")
+        key = F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(mask)))
+        chosen_masks.append(F.struct(key.alias("block"), F.lit(mask).alias("mask")))
+    blocks = values.select(F.explode(F.array(*chosen_masks)).alias("b"), "fp").select(
+        "b.block", "b.mask", "fp"
     )
-    found = blocks.mapInArrow(_links_of_blocks, "a long, b long")
-    return found
+    small = None
+    while True:
+        sizes = blocks.groupBy("block").agg(F.count("*").alias("size"))
+        large = stored(
+            sizes.where(F.col("size") > MOST_BLOCK).select("block", F.lit(True).alias("large")),
+            "large-blocks",
+        )
+        count = large.count()
+        if count and count <= BROADCAST_BLOCKS:
+            blocks = blocks.join(F.broadcast(large), "block", "left")
+        elif count:
+            blocks = with_salted(blocks, large, "block")
+        fit = (blocks.where("large IS NULL") if count else blocks).select("block", "fp")
+        small = fit if small is None else small.union(fit)
+        if not count:
+            return small
+        # Every round fixes a quarter of the free bits, so the rounds are few.
+        split = blocks.where("large").select("block", "mask", "fp")
+        split = split.mapInArrow(_split, "block long, mask long, fp long")
+        key = F.xxhash64("block", "mask", F.col("fp").bitwiseAND(F.col("mask")))
+        blocks = stored(split.withColumn("block", key), "split-blocks")
+
+
+def links(values: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` among the distinct fingerprints ``fp`` that connect all that
+    differ in at most three bits."""
+    blocks = _blocks(values).repartition("block").sortWithinPartitions("block")
+    return blocks.mapInArrow(_links_of_blocks, "a long, b long")
 
 
 def near_groups(

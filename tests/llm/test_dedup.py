@@ -109,6 +109,37 @@ def test_links_of_dense_and_sparse_fingerprints(spark):
     }
 
 
+def test_links_of_a_large_family(spark, monkeypatch):
+    """Many distinct fingerprints share fields; no task may see them all as one block."""
+    maker = random.Random(9)
+    center, places = maker.getrandbits(64), maker.sample(range(64), 15)
+    values = set()
+    while len(values) < 900:
+        value = center
+        for bit in maker.sample(places, maker.randint(0, 15)):
+            value ^= 1 << bit
+        values.add(value - (value >> 63 << 64))
+    values = sorted(values)
+    whole = simhash.block_links
+
+    def bounded(found, distance=3):
+        assert len(found) <= 16
+        return whole(found, distance)
+
+    monkeypatch.setattr(simhash, "MOST_BLOCK", 16, raising=False)
+    monkeypatch.setattr(simhash, "block_links", bounded)
+    frame = spark.createDataFrame([(v,) for v in values], "fp long")
+    roots = {r.node: r.root for r in graph.components(simhash.links(frame)).collect()}
+    bits = np.array(values, np.int64).view(np.uint64)
+    least = np.arange(len(values))
+    near = np.bitwise_count(bits[:, None] ^ bits) <= 3
+    for _ in range(40):
+        least = np.where(near, least, len(values)).min(1)
+    assert {v: roots.get(v, v) for v in values} == {
+        v: values[j] for v, j in zip(values, least, strict=True)
+    }
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a long, b long")
     roots = {r.node: r.root for r in graph.components(links).collect()}
