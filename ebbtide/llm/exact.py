@@ -132,18 +132,19 @@ def exact_groups(
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Rules as in :func:`exact_groups`; of rows that repeat an id and a text one stays,
-    whatever their other columns hold.
+    Rules as in :func:`exact_groups`; of rows that repeat an id and a text one with the
+    longest original stays, whatever their other columns hold.
     """
     names = docs.columns
     whole = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"),
         F.col(key).cast("long").alias("id"),
         F.unhex(F.sha2(normalised(F.col(text)), 256)).alias("sha"),
+        F.length(known(F.col(text))).alias("size"),
     )
     kept = exact_groups(docs, key, text).where("kept").select("id", "sha").alias("k")
     same = F.col("d.id").eqNullSafe(F.col("k.id")) & (F.col("d.sha") == F.col("k.sha"))
-    once = F.row_number().over(Window.partitionBy("id", "sha").orderBy(F.lit(1)))
+    once = F.row_number().over(Window.partitionBy("id", "sha").orderBy(F.desc("size")))
     return (
         whole.alias("d")
         .join(kept, same, "left_semi")

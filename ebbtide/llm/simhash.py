@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.graph import components
@@ -69,16 +69,25 @@ def fingerprints_of(texts: list[str], shingle: int = SHINGLE) -> np.ndarray:
 def fingerprints(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE
 ) -> DataFrame:
-    """``(id, fp)`` of every row; null texts count as empty."""
+    """``(id, fp, sha)`` of every row, the last the SHA-256 of its text; null texts count
+    as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = fingerprints_of(batch.column(1).to_pylist(), shingle)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found), batch.column(2)], ["id", "fp", "sha"]
+            )
 
     return docs.select(
-        F.col(key).cast("long").alias("id"), known(F.col(text)).alias("text")
-    ).mapInArrow(run, "id long, fp long")
+        F.col(key).cast("long").alias("id"),
+        known(F.col(text)).alias("text"),
+        _sha(text).alias("sha"),
+    ).mapInArrow(run, "id long, fp long, sha binary")
+
+
+def _sha(text: str) -> Column:
+    return F.unhex(F.sha2(known(F.col(text)), 256))
 
 
 def pivot_table(values: np.ndarray, pivots: int = PIVOTS) -> np.ndarray:
@@ -230,6 +239,12 @@ def near_groups(
     Null ids are reported but give no component id; rows that repeat an id are each
     reported. An empty table gives no rows. Other columns are not read.
     """
+    return _grouped(docs, key, text, shingle).select("id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """``(id, fp, sha, root, component_id)`` of every row; the root tells components
+    without an id apart."""
     rows = stored(fingerprints(docs, key, text, shingle), "fingerprints")
     nodes = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
     roots = components(links(nodes.select("fp")))
@@ -237,29 +252,37 @@ def near_groups(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = with_salted(rooted, smallest, "root").select("fp", "component_id")
-    return with_salted(rows, named, "fp").select("id", "fp", "component_id")
+    named = with_salted(rooted, smallest, "root").select("fp", "root", "component_id")
+    return with_salted(rows, named, "fp").select("id", "fp", "sha", "root", "component_id")
 
 
 def one_of_each_group(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE
 ) -> DataFrame:
     """The rows of ``docs`` whose id is the least of its component, with all their
-    columns; of rows that repeat an id, all whose text is in that component. Rows
-    without an id stay."""
+    columns; of rows that repeat an id, all whose text is in that component. Of a
+    component without any id the row whose text has the least SHA-256 stays, one if
+    several have that text; other rows without an id go."""
     names = docs.columns
-    kept = (
-        near_groups(docs, key, text, shingle)
-        .where("id = component_id")
-        .select(F.col("id").alias("kept_id"))
-        .distinct()
-    )
+    groups = _grouped(docs, key, text, shingle)
     whole = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"),
         F.col(key).cast("long").alias("id"),
+        _sha(text).alias("sha"),
     )
-    joined = whole.join(kept, F.col("id") == F.col("kept_id"), "left")
-    return joined.where("id IS NULL OR kept_id IS NOT NULL").select("row.*")
+    kept = groups.where("id = component_id").select("id", "sha").distinct()
+    left = whole.join(kept, ["id", "sha"], "left_semi").select("row")
+    nameless = whole.where("id IS NULL")
+    if not nameless.isEmpty():
+        alone = groups.where("component_id IS NULL").groupBy("root").agg(F.min("sha").alias("sha"))
+        once = F.row_number().over(Window.partitionBy("sha").orderBy(F.lit(1)))
+        left = left.union(
+            nameless.join(alone, "sha", "left_semi")
+            .withColumn("nth", once)
+            .where("nth = 1")
+            .select("row")
+        )
+    return left.select("row.*")
 
 
 ship(__name__)

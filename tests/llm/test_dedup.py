@@ -85,6 +85,22 @@ def test_near_groups(documents):
     assert {r.doc_id for r in kept.collect()} == {c for _, c in got.values()}
 
 
+def test_one_of_each_group_without_ids_and_with_repeated_ids(documents):
+    one, two, three = ("a b c " * 30, "d e f g " * 30, "h i j k l " * 30)
+    rows = [(4, one), (None, one), (None, two), (None, two), (7, one), (7, three), (7, three)]
+    frame = documents([t for _, t in rows], [k for k, _ in rows])
+    kept = [(r.doc_id, r.text) for r in simhash.one_of_each_group(frame).collect()]
+    assert sorted(kept, key=repr) == [(4, one), (7, three), (7, three), (None, two)]
+
+
+@pytest.mark.parametrize("texts", [["ab", "a  b"], ["a  b", "ab"]])
+@pytest.mark.parametrize("key", [None, 1])
+def test_longest_original_stays(documents, texts, key):
+    frame = documents([*texts, "c"], [key, key, 2]).coalesce(1)
+    left = {r.text for r in exact.without_copies(frame).collect()}
+    assert left == {"a  b", "c"}
+
+
 def test_links_of_dense_and_sparse_fingerprints(spark):
     maker = random.Random(8)
     values = {0, -1}
