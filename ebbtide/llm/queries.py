@@ -16,6 +16,7 @@ from ebbtide.llm import (
     substrings,
     tokens,
     warc,
+    whitening,
 )
 from ebbtide.llm.shared import table
 from ebbtide.session import scratch_path
@@ -169,6 +170,20 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumnRenamed("id", "doc_id")
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    one = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "one")
+    return rows.select("id", "n", "deviation", "identity_error", one).select(
+        F.col("id").alias("vec_id"),
+        (F.col("place") + 1).alias("component"),
+        "n",
+        F.col("deviation").cast("long").alias("deviation"),
+        F.col("one.whitened").alias("whitened"),
+        F.col("one.explained").alias("explained"),
+        "identity_error",
+    )
+
+
 QUERIES = {
     "op1_language_id": (op1_language_id, None),
     "op3_pii": (op3_pii, None),
@@ -180,4 +195,5 @@ QUERIES = {
     "op2_warc": (op2_warc, WARC_SQL),
     "op8_simhash_near_dedup": (op8_simhash_near_dedup, None),
     "op10_exact_dedup": (op10_exact_dedup, EXACT_SQL),
+    "op13_embedding_whitening": (op13_embedding_whitening, None),
 }

@@ -67,6 +67,49 @@ def with_salted(rows: DataFrame, facts: DataFrame, key: str, salts: int = 16) ->
     )
 
 
+# Rows of one key beyond which a join deals the key out; and distinct keys that are
+# told apart so by broadcast, at most.
+HOT_ROWS = 20_000
+MOST_HOT_KEYS = 1_000_000
+
+
+def with_facts(
+    rows: DataFrame, facts: DataFrame, key: str, how: str = "left", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Stored ``rows`` joined with ``facts`` (one row per ``key``), where a key may hold
+    any part of the rows.
+
+    Keys with more than ``hot_rows`` rows are counted first and dealt out over as many
+    parts as they have lots of ``hot_rows``; only their facts are repeated, once per
+    part. Rows without a key are dealt out as well. A table of up to ``hot_rows`` rows
+    is joined as it is. The limit rises with the table so that hot keys are at most
+    ``MOST_HOT_KEYS``.
+    """
+    total = rows.count()
+    if total <= hot_rows:
+        return rows.join(facts, key, how)
+    limit = max(hot_rows, total // MOST_HOT_KEYS)
+    counted = rows.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit)
+    parts = F.ceil(F.col("_rows") / F.lit(limit)).cast("int").alias("_parts")
+    hot = stored(counted.select(key, parts), "hot-keys")
+    if hot.isEmpty():
+        return rows.join(facts, key, how)
+    hot = F.broadcast(hot)
+    spot = F.xxhash64(*rows.columns, F.spark_partition_id())
+    part = (
+        F.when(F.col(key).isNull(), F.pmod(spot, F.lit(1 << 20)))
+        .when(F.col("_parts").isNotNull(), F.pmod(spot, F.col("_parts")))
+        .otherwise(F.lit(0))
+        .cast("int")
+    )
+    dealt = rows.join(hot, key, "left").withColumn("_part", part).drop("_parts")
+    last = F.coalesce("_parts", F.lit(1)) - 1
+    repeated = facts.join(hot, key, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), last))
+    )
+    return dealt.join(repeated.drop("_parts"), [key, "_part"], how).drop("_part")
+
+
 def word_numbers(raw: np.ndarray) -> np.ndarray:
     """A number for each word of bytes that start and end with white space: the sum of
     a mix of each byte and its place in the word, as a difference of running sums."""
