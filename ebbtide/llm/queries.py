@@ -12,6 +12,7 @@ from ebbtide.llm import (
     pieces,
     pii,
     quality,
+    search,
     simhash,
     substrings,
     tokens,
@@ -170,6 +171,53 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumnRenamed("id", "doc_id")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+SEARCH_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL
+), held AS (
+  SELECT row, doc_id, terms, len(terms) AS n FROM words WHERE len(terms) > 0
+), totals AS (
+  SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM held
+), asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+  ) GROUP BY item_id, term
+), counted AS (
+  SELECT row, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row, doc_id, n, unnest(terms) AS term FROM held)
+  WHERE term IN (SELECT term FROM asked) GROUP BY row, doc_id, n, term
+), weighed AS (
+  SELECT term,
+         floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted, totals GROUP BY term, big_n
+), scored AS (
+  SELECT item_id, row, doc_id,
+         sum(times * w * ((1000000000 * tf)
+             // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))))::BIGINT AS score
+  FROM counted JOIN asked USING (term) JOIN weighed USING (term), totals
+  GROUP BY item_id, row, doc_id
+), ranked AS (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS place
+  FROM scored WHERE score > 0
+)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 20
+"""
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
     one = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "one")
@@ -195,5 +243,6 @@ QUERIES = {
     "op2_warc": (op2_warc, WARC_SQL),
     "op8_simhash_near_dedup": (op8_simhash_near_dedup, None),
     "op10_exact_dedup": (op10_exact_dedup, EXACT_SQL),
+    "op12_lexical_search": (op12_lexical_search, SEARCH_SQL),
     "op13_embedding_whitening": (op13_embedding_whitening, None),
 }
