@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ebbtide.llm import (
     exact,
     language,
+    minhash,
     mixing,
     pieces,
     pii,
@@ -171,6 +172,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumnRenamed("id", "doc_id")
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = minhash.near_groups(table(spark, sf_dir, "documents"))
+    return groups.withColumnRenamed("id", "doc_id")
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -243,6 +249,7 @@ QUERIES = {
     "op2_warc": (op2_warc, WARC_SQL),
     "op8_simhash_near_dedup": (op8_simhash_near_dedup, None),
     "op10_exact_dedup": (op10_exact_dedup, EXACT_SQL),
+    "op11_minhash_near_dedup": (op11_minhash_near_dedup, None),
     "op12_lexical_search": (op12_lexical_search, SEARCH_SQL),
     "op13_embedding_whitening": (op13_embedding_whitening, None),
 }

@@ -74,24 +74,31 @@ MOST_HOT_KEYS = 1_000_000
 
 
 def with_facts(
-    rows: DataFrame, facts: DataFrame, key: str, how: str = "left", hot_rows: int = HOT_ROWS
+    rows: DataFrame,
+    facts: DataFrame,
+    key: str,
+    how: str = "left",
+    sizes: DataFrame | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Stored ``rows`` joined with ``facts`` (one row per ``key``), where a key may hold
     any part of the rows.
 
-    Keys with more than ``hot_rows`` rows are counted first and dealt out over as many
-    parts as they have lots of ``hot_rows``; only their facts are repeated, once per
-    part. Rows without a key are dealt out as well. A table of up to ``hot_rows`` rows
-    is joined as it is. The limit rises with the table so that hot keys are at most
+    Keys with more than ``hot_rows`` rows are counted first (``sizes`` may give the stored
+    counts as ``key, rows``) and dealt out over as many parts as they have lots of
+    ``hot_rows``; only their facts are repeated, once per part. Rows without a key are
+    dealt out as well. The limit rises with the table so that hot keys are at most
     ``MOST_HOT_KEYS``.
     """
-    total = rows.count()
+    hot_rows = hot_rows or HOT_ROWS
+    total = (sizes.agg(F.sum("rows")).first()[0] or 0) if sizes else rows.count()
     if total <= hot_rows:
         return rows.join(facts, key, how)
     limit = max(hot_rows, total // MOST_HOT_KEYS)
-    counted = rows.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit)
-    parts = F.ceil(F.col("_rows") / F.lit(limit)).cast("int").alias("_parts")
-    hot = stored(counted.select(key, parts), "hot-keys")
+    if sizes is None:
+        sizes = rows.groupBy(key).agg(F.count("*").alias("rows"))
+    parts = F.ceil(F.col("rows") / F.lit(limit)).cast("int").alias("_parts")
+    hot = stored(sizes.where(F.col("rows") > limit).select(key, parts), "hot-keys")
     if hot.isEmpty():
         return rows.join(facts, key, how)
     hot = F.broadcast(hot)
@@ -110,6 +117,15 @@ def with_facts(
     return dealt.join(repeated.drop("_parts"), [key, "_part"], how).drop("_part")
 
 
+def only(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key`` is among the stored, distinct ``keys``, null keys included;
+    a table of at most ``MOST_HOT_KEYS`` keys is broadcast."""
+    keys = keys.select(F.col(key).alias("_key"))
+    if keys.count() <= MOST_HOT_KEYS:
+        keys = F.broadcast(keys)
+    return rows.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+
+
 def word_numbers(raw: np.ndarray) -> np.ndarray:
     """A number for each word of bytes that start and end with white space: the sum of
     a mix of each byte and its place in the word, as a difference of running sums."""
