@@ -11,7 +11,12 @@ from catalogue import inputs, sql
 from ebbtide.functions.dates import anchor_numbers
 from ebbtide.operators.merge import merge_days
 from ebbtide.plans.movers import run_sql
-from ebbtide.plans.normalise import land_lines, latest_listing, latest_positions
+from ebbtide.plans.normalise import (
+    land_lines,
+    latest_listing,
+    latest_positions,
+    normalise_folder,
+)
 from ebbtide.schemas import LISTING
 from ebbtide.session import scratch_path
 from ebbtide.sinks import keyed, marks
@@ -174,6 +179,38 @@ LISTED = f"""SELECT code, CASE WHEN industry = 'MACHINERY' THEN 'The "' || name
     ELSE name END AS name, industry FROM ({sql.EVENT_CODES}) c WHERE industry <> 'FURNITURE'"""
 
 
+def quoted_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers as listing records, some with line breaks within quotes.
+
+    By segment a name holds a line break, a break with an empty line, separators and
+    quotes, or a record is followed by a line that quoting breaks.
+    """
+    path = scratch_path(spark, "listing")
+    segment, name = F.col("industry"), F.col("name")
+    broken = F.concat(F.lit('"'), F.replace(name, F.lit("#"), F.lit('\n""No"", ')), F.lit('"'))
+    apart = F.concat(F.lit('"'), name, F.lit('\n\nLtd"'))
+    record = F.concat_ws(
+        ",",
+        F.when(segment == "BUILDING", apart).when(segment == "MACHINERY", broken).otherwise(name),
+        "code",
+        segment,
+    )
+    astray = F.concat(record, F.lit("\nbe"), F.lit('"side,'), "code", F.lit(",lost"))
+    customers = inputs.event_codes(spark, sf_dir)
+    rows = customers.select(
+        F.floor(F.col("code").cast("bigint") / CODES_PER_FILE).alias("file_number"),
+        F.col("code").cast("bigint").alias("place"),
+        F.when(segment == "FURNITURE", astray).otherwise(record).alias("line"),
+    )
+    _land_listing(rows, path)
+    return latest_listing(reports.listing(lines.read_lines(spark, path)))
+
+
+QUOTED = f"""SELECT code, industry, CASE industry WHEN 'BUILDING' THEN name || chr(10) || chr(10) || 'Ltd'
+    WHEN 'MACHINERY' THEN replace(name, '#', chr(10) || '"No", ') ELSE name END AS name
+    FROM ({sql.EVENT_CODES}) c"""
+
+
 def delimited_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders as blank-separated records of varying length."""
     path = scratch_path(spark, "delimited")
@@ -253,6 +290,31 @@ def normalise_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.withColumn("percent", F.col("percent").cast("double"))
 
 
+def strict_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every report file normalised, files judged as a whole: the last day's report has
+    one line that quoting breaks, so it counts as empty."""
+    listing, path = scratch_path(spark, "listing"), scratch_path(spark, "reports")
+    _land_listing(listing_lines(spark, sf_dir), listing)
+    report = report_lines(spark, sf_dir)
+    last = report.agg(F.max("report_date").alias("report_date"))
+    broken = last.select(F.lit(-1).cast("bigint").alias("event_id"), "report_date",
+                         F.lit('USER "1"\t1\t1\t1\t1').alias("line"))
+    land_reports(report.unionByName(broken), path)
+    merged = normalise_folder(spark, listing, path, strict=True)
+    return merged.withColumn("percent", F.col("percent").cast("double"))
+
+
+STRICT = f"""SELECT d.date, c.code, c.name, coalesce(p.shorts, 0) AS shorts,
+    coalesce(p.total, 0) AS total, coalesce(p.percent, 0) AS percent, c.industry
+    FROM ({LISTED}) c
+    CROSS JOIN (SELECT DISTINCT date FROM ({sql.EVENT_REPORTS}) r) d
+    LEFT JOIN (SELECT code, date, arg_max(shorts, shorts) AS shorts,
+        arg_max(total, shorts) AS total, arg_max(percent, shorts) AS percent
+        FROM ({ACCEPTED}) a
+        WHERE date < (SELECT max(date) FROM ({sql.EVENT_REPORTS}) r) GROUP BY code, date) p
+    ON p.code = c.code AND p.date = d.date"""
+
+
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, from files that arrive in two lots."""
     landing, table = scratch_path(spark, "landing"), scratch_path(spark, "days")
@@ -320,6 +382,8 @@ QUERIES = {
     "report_days": (report_days, f"SELECT DISTINCT date FROM ({sql.EVENT_REPORTS}) r"),
     "listing_scan": (listing_scan, LISTED),
     "preamble_skip": (preamble_skip, LISTED),
+    "quoted_listing": (quoted_listing, QUOTED),
+    "strict_reports": (strict_reports, STRICT),
     "delimited_rows": (delimited_rows, DELIMITED),
     "snapshot_unnest": (snapshot_unnest, sql.EVENT_SNAPSHOTS),
     "document_view_sql": (document_view_sql, DOCUMENT_VIEW),

@@ -38,14 +38,19 @@ def normalise_folder(
     start: Day | None = None,
     end: Day | None = None,
     file_pattern: str = reports.REPORT_FILE,
+    strict: bool = False,
 ) -> DataFrame:
     """All days of a landing folder, or those from ``start`` before ``end``. Only the
     files of these days are opened.
 
+    With ``strict`` a file counts as a whole: a report with broken quoting anywhere is
+    an empty one, a listing with broken quoting is a ``ValueError``.
+
     A day with a report but no valid line has every code at zero; a day without a
     report is absent.
     """
-    codes = latest_listing(reports.listing(lines.read_lines(spark, listing_path)))
+    listed = reports.listing(lines.read_lines(spark, listing_path), strict=strict)
+    codes = latest_listing(listed)
     days = between_days(reports.report_days(spark, reports_path, file_pattern), start, end)
     # Calendar days only.
     numbers = {row["date"] for row in days.collect()}
@@ -54,7 +59,7 @@ def normalise_folder(
         for name in lines.file_names(spark, reports_path)
         if lines.name_number(name, file_pattern) in numbers
     ]
-    rows = reports.read_positions(spark, paths or reports_path, file_pattern)
+    rows = reports.read_positions(spark, paths or reports_path, file_pattern, strict=strict)
     if not paths:
         rows = rows.where(F.lit(False))
     return merge_days(codes, latest_positions(rows), days)

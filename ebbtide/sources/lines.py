@@ -15,13 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.dates import parse_instant
-from ebbtide.functions.text import (
-    computed_once,
-    split_fields,
-    without_nul,
-    without_return,
-)
+from ebbtide.functions.text import computed_once, split_fields
 from ebbtide.session import materialise
+from ebbtide.sources.quoted import plain_lines, whole_records
 
 # Fixed value: lines ahead of the first record of a downloaded listing.
 PREAMBLE_LINES = 3
@@ -146,24 +142,31 @@ def skip_preamble(lines: DataFrame, preamble: int = PREAMBLE_LINES) -> DataFrame
     )
 
 
-def clean(lines: DataFrame) -> DataFrame:
-    """Lines without NUL bytes and carriage returns, empty ones left out."""
-    others = [name for name in lines.columns if name != "line"]
-    plain = computed_once(lines, others, without_nul(F.col("line")).alias("line"))
-    ended = computed_once(plain, others, without_return(F.col("line")).alias("line"))
-    return ended.where("line <> ''")
+def with_fields(lines: DataFrame, separator: str, breaks: bool = False) -> DataFrame:
+    """Clean records with their array of ``fields``, NULL where quoting is broken, and
+    ``stray`` lines of records that quoting breaks as a whole.
 
-
-def with_fields(lines: DataFrame, separator: str) -> DataFrame:
-    """Clean lines with their array of ``fields``, NULL where quoting is broken."""
+    With ``breaks`` a quoted field may hold line breaks; else each line is a record.
+    Empty lines between records are left out.
+    """
+    if breaks:
+        records = whole_records(lines, separator)
+    else:
+        records = plain_lines(lines).where("line <> ''").withColumn("stray", F.lit(False))
     fields = split_fields(F.col("line"), separator).alias("fields")
-    return computed_once(clean(lines), LINE_PLACE, "line", fields)
+    return computed_once(records, (*LINE_PLACE, "stray"), "line", fields)
+
+
+def broken_files(records: DataFrame) -> DataFrame:
+    """The ``file`` of every file that has broken quoting anywhere."""
+    broken = F.max(F.col("stray") | F.col("fields").isNull())
+    return records.groupBy("file").agg(broken.alias("broken")).where("broken").select("file")
 
 
-def delimited_rows(lines: DataFrame, separator: str = ",") -> DataFrame:
+def delimited_rows(lines: DataFrame, separator: str = ",", breaks: bool = True) -> DataFrame:
     """Records as an array of fields, of any length, with their place."""
     return (
-        with_fields(lines, separator)
+        with_fields(lines, separator, breaks)
         .where("fields is not null")
         .select("fields", *LINE_PLACE)
     )

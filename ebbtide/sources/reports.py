@@ -10,6 +10,7 @@ from ebbtide.functions.text import computed_once
 from ebbtide.sources.lines import (
     LINE_ORDER,
     LINE_PLACE,
+    broken_files,
     file_names,
     name_number,
     path_number,
@@ -28,18 +29,27 @@ def _field(position: int) -> Column:
     return F.get("fields", F.lit(position))
 
 
-def listing(lines: DataFrame) -> DataFrame:
-    """Name, code and industry of the lines with exactly three fields."""
-    return _listing_fields(lines).where("valid").select("name", "code", "industry", *LINE_ORDER)
+def listing(lines: DataFrame, breaks: bool = True, strict: bool = False) -> DataFrame:
+    """Name, code and industry of the records with exactly three fields.
 
+    Quoted fields may hold line breaks, unless ``breaks`` is off. With ``strict`` a file
+    with broken quoting anywhere is an error: ``ValueError``.
+    """
+    records = with_fields(lines, ",", breaks or strict)
+    if strict and (broken := broken_files(records).first()):
+        raise ValueError(f"broken quoting in {broken.file}")
+    fields = _listing_fields(records)
+    return fields.where("valid").select("name", "code", "industry", *LINE_ORDER)
 
-def rejected_listing(lines: DataFrame) -> DataFrame:
-    return _listing_fields(lines).where("not valid").select("line", *LINE_PLACE)
 
+def rejected_listing(lines: DataFrame, breaks: bool = True) -> DataFrame:
+    fields = _listing_fields(with_fields(lines, ",", breaks))
+    return fields.where("not valid").select("line", *LINE_PLACE)
 
-def _listing_fields(lines: DataFrame) -> DataFrame:
+
+def _listing_fields(records: DataFrame) -> DataFrame:
     return computed_once(
-        with_fields(lines, ","),
+        records,
         LINE_PLACE,
         "line",
         _field(0).alias("name"),
@@ -49,26 +59,40 @@ def _listing_fields(lines: DataFrame) -> DataFrame:
     )
 
 
-def positions(lines: DataFrame, file_pattern: str = REPORT_FILE) -> DataFrame:
-    """Well-formed positions with the ``yyyymmdd`` their file name carries."""
+def positions(
+    lines: DataFrame,
+    file_pattern: str = REPORT_FILE,
+    breaks: bool = False,
+    strict: bool = False,
+) -> DataFrame:
+    """Well-formed positions with the ``yyyymmdd`` their file name carries.
+
+    Reports are not quoted as a rule, so line breaks within quotes are looked for only
+    with ``breaks``. With ``strict`` a file with broken quoting anywhere has no position.
+    """
     columns = ("name", "code", "shorts", "total", "percent", "date")
-    return (
-        _position_fields(lines, file_pattern).where("valid").select(*columns, *LINE_ORDER)
-    )
+    records = with_fields(lines, "\t", breaks or strict)
+    found = _position_fields(records, file_pattern).where("valid")
+    if strict:
+        # One row per file at most.
+        found = found.join(F.broadcast(broken_files(records)), "file", "left_anti")
+    return found.select(*columns, *LINE_ORDER)
 
 
-def rejected_positions(lines: DataFrame, file_pattern: str = REPORT_FILE) -> DataFrame:
+def rejected_positions(
+    lines: DataFrame, file_pattern: str = REPORT_FILE, breaks: bool = False
+) -> DataFrame:
     """Lines :func:`positions` leaves out, headers among them."""
     return (
-        _position_fields(lines, file_pattern)
+        _position_fields(with_fields(lines, "\t", breaks), file_pattern)
         .where("not valid")
         .select("line", "date", *LINE_PLACE)
     )
 
 
-def _position_fields(lines: DataFrame, file_pattern: str) -> DataFrame:
+def _position_fields(records: DataFrame, file_pattern: str) -> DataFrame:
     typed = computed_once(
-        with_fields(lines, "\t"),
+        records,
         LINE_PLACE,
         "line",
         F.size("fields").alias("n_fields"),
@@ -99,9 +123,13 @@ def days_of(spark: SparkSession, numbers: set[int]) -> DataFrame:
 
 
 def read_positions(
-    spark: SparkSession, path: str | list[str], file_pattern: str = REPORT_FILE
+    spark: SparkSession,
+    path: str | list[str],
+    file_pattern: str = REPORT_FILE,
+    breaks: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
-    return positions(read_lines(spark, path), file_pattern)
+    return positions(read_lines(spark, path), file_pattern, breaks, strict)
 
 
 def report_path(root: str, day: str) -> str:
