@@ -14,8 +14,8 @@ cut into blocks; what blocks cannot settle at once is looked at again in later r
 
 from __future__ import annotations
 
+import functools
 import itertools
-import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,7 +34,7 @@ SEED = 42
 PERCENT = 80
 # Numbers that a sketch retains, and the least ones of them that every document is
 # indexed by. Documents that meet in crowded lists are indexed by all.
-RETAINED = 256
+RETAINED = 512
 INDEXED = 32
 # Chance that two documents of just that similarity miss each other in a step.
 MISS = 1e-9
@@ -43,15 +43,22 @@ MOST_BLOCK = 256
 HUBS = 64
 
 
+@functools.cache
+def _least_shared(most: int) -> np.ndarray:
+    """For 0 to ``most`` numbers of a union, how many of them two similar sets share at
+    least, but for a chance of ``MISS``."""
+    p = PERCENT / 100
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, most + 1)))])
+    least = np.zeros(most + 1, np.int64)
+    for size in range(1, most + 1):
+        k = np.arange(size + 1)
+        chance = logs[size] - logs[k] - logs[size - k] + k * np.log(p) + (size - k) * np.log(1 - p)
+        least[size] = np.searchsorted(np.cumsum(np.exp(chance)), MISS, "right")
+    return least
+
+
 def least_shared(size: int) -> int:
-    """How many of the ``size`` least numbers of a union two similar sets share at least,
-    but for a chance of ``MISS``."""
-    p, below = PERCENT / 100, 0.0
-    for shared in range(size + 1):
-        below += math.comb(size, shared) * p**shared * (1 - p) ** (size - shared)
-        if below > MISS:
-            return shared
-    return size
+    return int(_least_shared(2 * RETAINED)[size])
 
 
 def shingle_numbers(text: str, shingle: int = SHINGLE) -> np.ndarray:
@@ -138,17 +145,22 @@ def _entries(numbers: DataFrame, retained: int) -> DataFrame:
     )
 
 
-def _members(classes: DataFrame) -> DataFrame:
+def _of_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(node, n, sketch)`` of the stored ``nodes``."""
+    of_rows = only(rows.select("node", "n", "sketch"), nodes, "node")
+    return of_rows.groupBy("node").agg(F.max("n").alias("n"), F.first("sketch").alias("sketch"))
+
+
+def _members(classes: DataFrame, rows: DataFrame) -> DataFrame:
     """``(v, size, node, own)``: the inverted lists. Of lists with the same members one is
     kept."""
-    first = classes.select("node", "n", F.explode(F.slice("sketch", 1, INDEXED)).alias("v"))
+    first = classes.select("node", "n", F.explode("first").alias("v"))
     entries = stored(_entries(stored(first, "numbers"), INDEXED), "entries")
     crowded = entries.where(F.col("df") > MOST_BLOCK).select("node").distinct()
     crowded = stored(crowded, "crowded")
     lists = entries.where(F.col("df") <= MOST_BLOCK).select("v", "node", "own")
     if not crowded.isEmpty():
-        every = only(classes, crowded, "node")
-        every = every.select("node", "n", F.explode("sketch").alias("v"))
+        every = _of_nodes(rows, crowded).select("node", "n", F.explode("sketch").alias("v"))
         every = _entries(stored(every, "all-numbers"), RETAINED)
         lists = lists.union(every.select(F.xxhash64("v", F.lit(1)), "node", "own"))
     lists = stored(lists, "lists")
@@ -174,11 +186,19 @@ def _overlaps(sketches: np.ndarray, filled: np.ndarray) -> np.ndarray:
     return np.rint(matrix @ matrix.T).astype(np.int64)
 
 
-def shared_in_union(one: np.ndarray, two: np.ndarray) -> int:
-    """How many of the ``RETAINED`` least numbers of the union are in both sketches."""
-    least = np.union1d(one, two)[:RETAINED]
-    both = np.intersect1d(one, two, assume_unique=True)
-    return int(np.searchsorted(both, least[-1], "right"))
+def _in_union(sketches: list[np.ndarray], sizes: np.ndarray, overlap: np.ndarray) -> np.ndarray:
+    """How many numbers of each two sets' union the two sketches tell: all up to where the
+    shorter-reaching sketch ends, all at all if both hold whole sets. The numbers that
+    the sketches share are the shared ones among these."""
+    last = np.iinfo(np.uint64).max
+    reach = np.array(
+        [last if len(s) == n else s[-1] for s, n in zip(sketches, sizes, strict=True)], np.uint64
+    )
+    # Numbers of the set in the row up to the reach of the set in the column.
+    within = np.stack([np.searchsorted(s, reach, "right") for s in sketches])
+    own = np.array([len(s) for s in sketches])
+    first = reach[:, None] <= reach[None]
+    return np.where(first, own[:, None] + within.T, within + own[None]) - overlap
 
 
 def proposals(
@@ -200,17 +220,14 @@ def proposals(
     overlap = _overlaps(np.concatenate(sketches), filled)
     whole = filled == sizes
     both_whole = whole[:, None] & whole[None]
-    total = sizes[:, None] + sizes[None]
-    similar = np.where(
-        both_whole,
-        100 * overlap >= PERCENT * (total - overlap),
-        (overlap >= least_shared(RETAINED))
-        & (100 * np.minimum(sizes[:, None], sizes) >= PERCENT * np.maximum(sizes[:, None], sizes)),
-    )
+    union = _in_union(sketches, sizes, overlap)
+    likely = overlap >= _least_shared(2 * RETAINED)[np.minimum(union, 2 * RETAINED)]
+    likely &= 100 * np.minimum(sizes[:, None], sizes) >= PERCENT * np.maximum(sizes[:, None], sizes)
+    similar = np.where(both_whole, 100 * overlap >= PERCENT * union, likely)
     similar &= comps[:, None] != comps[None]
     similar &= (roles[:, None] != roles[None]) | (roles[:, None] < 0)
     first, second = np.nonzero(np.triu(similar, 1))
-    share = overlap[first, second] / (filled[first] + filled[second] - overlap[first, second])
+    share = overlap[first, second] / union[first, second]
     parent = {int(c): int(c) for c in comps}
 
     def root(c: int) -> int:
@@ -226,8 +243,6 @@ def proposals(
         if one == two or (min(names[i], names[j]), max(names[i], names[j])) in refused:
             continue
         certain = bool(both_whole[i, j])
-        if not certain and shared_in_union(sketches[i], sketches[j]) < least_shared(RETAINED):
-            continue
         found.append((i, j, certain))
         bridges[one, two] += 1
         if certain or bridges[one, two] >= allowed:
@@ -389,35 +404,37 @@ def _verified(
 
 
 def _links(
-    classes: DataFrame, docs: DataFrame, key: str, text: str, shingle: int
+    classes: DataFrame, rows: DataFrame, docs: DataFrame, key: str, text: str, shingle: int
 ) -> DataFrame | None:
     """``(node, root)`` of every node with a link."""
-    members = stored(_members(classes), "members")
+    members = stored(_members(classes, rows), "members")
     if members.isEmpty():
         return None
     nodes = stored(members.select("node").distinct(), "member-nodes")
-    facts = stored(only(classes, nodes, "node").select("node", "n", "sketch"), "member-facts")
-    links = refused = roots = None
+    facts = stored(_of_nodes(rows, nodes), "member-facts")
+    refused = roots = None
     for turn in itertools.count():
         if roots is None:
             now = members.withColumn("comp", F.col("node"))
         else:
             now = members.join(roots, "node", "left")
             now = now.withColumn("comp", F.coalesce("root", "node")).drop("root")
-            now = stored(now, "members-now")
             mixed = now.groupBy("v").agg(F.min("comp").alias("one"), F.max("comp").alias("two"))
             mixed = stored(mixed.where("one <> two").select("v"), "mixed")
             if mixed.isEmpty():
                 return roots
-            now = only(now, mixed, "v")
-        long = _around_hubs(now) if turn == 0 else _beside_largest(stored(now, "open-lists"))
-        blocks = _whole_lists(now).union(long).join(facts, "node")
+            now = stored(only(now, mixed, "v"), "open-lists")
+        blocks = _whole_lists(now)
+        if not members.where(F.col("size") > MOST_BLOCK).isEmpty():
+            again_long = _around_hubs if turn == 0 else _beside_largest
+            blocks = blocks.union(again_long(now))
+        blocks = blocks.join(facts, "node")
         if refused is None:
             blocks = blocks.withColumn("refused", F.lit(None).cast("array<binary>"))
         else:
             not_with = refused.groupBy("a").agg(F.collect_list("b").alias("refused"))
             blocks = blocks.join(not_with.withColumnRenamed("a", "node"), "node", "left")
-        found = stored(_propose(blocks, 4**turn), "proposals")
+        found = stored(_propose(blocks, 16**turn), "proposals")
         asked = stored(found.where("NOT certain").select("a", "b").distinct(), "pairs")
         new = found.where("certain").select("a", "b").distinct()
         again = members.where(F.col("size") > MOST_BLOCK).select("v") if turn == 0 else None
@@ -428,9 +445,7 @@ def _links(
             refused = denied if refused is None else refused.union(denied)
             failed = found.join(denied, ["a", "b"], "left_semi").select("v")
             again = failed if again is None else again.union(failed)
-        links = new if links is None else links.union(new)
-        links = stored(links.distinct(), "links")
-        roots = components(links)
+        roots = _contracted(roots, new)
         if again is None:
             return roots
         again = stored(again.distinct(), "again")
@@ -439,6 +454,21 @@ def _links(
         members = stored(only(members, again, "v"), "members")
 
 
+def _contracted(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``(node, root)`` after more links."""
+    if roots is None:
+        return components(links)
+    start = roots.select(F.col("node").alias("a"), F.col("root").alias("from"))
+    end = start.withColumnsRenamed({"a": "b", "from": "to"})
+    links = links.join(start, "a", "left").join(end, "b", "left")
+    links = links.select(F.coalesce("from", "a").alias("a"), F.coalesce("to", "b").alias("b"))
+    new = components(links).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    moved = roots.join(new, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    added = new.join(roots.select(F.col("node").alias("root")), "root", "left_anti")
+    moved = moved.union(added.select("root", "top"))
+    return stored(moved.distinct(), "roots")
+
+
 def near_groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE
 ) -> DataFrame:
@@ -460,10 +490,10 @@ def near_groups(
     classes = rows.where("node IS NOT NULL").groupBy("node").agg(
         F.min("id").alias("least"),
         F.max("n").alias("n"),
-        F.first("sketch").alias("sketch"),
+        F.first(F.slice("sketch", 1, INDEXED)).alias("first"),
     )
     classes = stored(classes, "classes")
-    roots = _links(classes, docs, key, text, shingle)
+    roots = _links(classes, rows, docs, key, text, shingle)
     named = classes.select("node", "least")
     if roots is None:
         named = named.withColumn("root", F.col("node"))

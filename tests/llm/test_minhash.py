@@ -68,9 +68,10 @@ def corpus(seed):
     return out
 
 
-@pytest.mark.parametrize(("retained", "indexed", "block"), [(256, 32, 256), (64, 16, 12)])
+@pytest.mark.parametrize(("retained", "indexed", "block"), [(512, 32, 256), (64, 16, 12)])
 def test_near_groups(documents, monkeypatch, retained, indexed, block):
     monkeypatch.setattr(minhash, "RETAINED", retained)
+    minhash._least_shared.cache_clear()
     monkeypatch.setattr(minhash, "INDEXED", indexed)
     monkeypatch.setattr(minhash, "MOST_BLOCK", block)
     monkeypatch.setattr(minhash, "HUBS", block // 4)
@@ -88,22 +89,41 @@ def test_nothing(documents):
     assert sorted(tuple(r) for r in got) == [(4, 0, 4, True), (4, 0, 4, True), (9, 1, 9, True)]
 
 
-def test_estimates():
+def test_numbers_told_of_a_union():
     maker = np.random.default_rng(2)
-    for _ in range(200):
+    for _ in range(60):
         common = maker.integers(0, 2**63, 900).astype(np.uint64)
-        one = np.unique(np.concatenate([common, maker.integers(0, 2**63, 100).astype(np.uint64)]))
-        two = np.unique(np.concatenate([common, maker.integers(0, 2**63, 120).astype(np.uint64)]))
-        shared_count = minhash.shared_in_union(one[:256], two[:256])
-        least = np.union1d(one, two)[:256]
-        assert shared_count == np.isin(least, one).astype(int) @ np.isin(least, two).astype(int)
-        assert shared_count >= minhash.least_shared(256)
+        sets = [
+            np.unique(np.concatenate([common[:c], maker.integers(0, 2**63, e).astype(np.uint64)]))
+            for c, e in ((900, 100), (880, 130), (300, 10), (280, 0), (500, 40))
+        ]
+        sketches, sizes = [s[:512] for s in sets], np.array([len(s) for s in sets])
+        overlap = minhash._overlaps(np.concatenate(sketches), np.array([len(s) for s in sketches]))
+        union = minhash._in_union(sketches, sizes, overlap)
+        for i, one in enumerate(sets):
+            for j, two in enumerate(sets):
+                if i == j:
+                    continue
+                reach = min(
+                    sketches[k][-1] if len(sketches[k]) < len(sets[k]) else np.uint64(2**64 - 1)
+                    for k in (i, j)
+                )
+                both = np.intersect1d(one, two)
+                assert overlap[i, j] == (both <= reach).sum()
+                assert union[i, j] == (np.union1d(one, two) <= reach).sum()
+        assert overlap[0, 1] >= minhash.least_shared(int(union[0, 1]))
+
+
+def test_least_shared():
+    least = minhash.least_shared(512)
+    assert 340 < least < 370
+    assert minhash.least_shared(1) == 0 and minhash.least_shared(1024) > 2 * least
 
 
 def test_proposals_that_are_refused_make_way_for_others():
-    base = np.arange(1000, 1400, dtype=np.uint64)
-    sketches = [np.sort(np.concatenate([base[:250], [np.uint64(i)]]))[:256] for i in (1, 2, 3)]
-    sizes = np.array([400, 400, 400])
+    base = np.arange(1000, 1600, dtype=np.uint64)
+    sketches = [np.sort(np.concatenate([base, [np.uint64(i)]]))[:512] for i in (1, 2, 3)]
+    sizes = np.array([601, 601, 601])
     names, roles = [b"a", b"b", b"c"], np.full(3, -1)
     one = minhash.proposals(sketches, sizes, names, np.arange(3), roles, set(), 1)
     assert len(one) == 2 and not any(c for _, _, c in one)
