@@ -14,6 +14,10 @@ from ebbtide.plans import movers, rankings
 from ebbtide.plans.normalise import last_day
 
 
+# More ranks than a window cuts where rows are read.
+DEEP_RANKS = 5000
+
+
 def dedup_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.event_positions(spark, sf_dir)
 
@@ -73,6 +77,17 @@ def ordered_movers_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movers.ordered_movers(rows, day, largest_first=True)
 
 
+def ordered_movers_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More ranks than a window's limit cuts."""
+    day = inputs.event_day(spark, sf_dir)
+    rows = _event_anchor_snapshots(spark, sf_dir, day)
+    return movers.ordered_movers(rows, day, ranks=DEEP_RANKS)
+
+
+def top_shorts_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rankings.leading_codes(inputs.event_snapshot(spark, sf_dir), DEEP_RANKS)
+
+
 def ordered_movers_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = inputs.event_day(spark, sf_dir)
     rows = inputs.event_positions(spark, sf_dir, inputs.anchor_days(day))
@@ -186,6 +201,10 @@ QUERIES = {
     "backfill_grid_lineitem": (backfill_grid_lineitem, sql.LINEITEM_SNAPSHOTS),
     "max_date": (max_date, f"SELECT max(date) AS date FROM ({sql.EVENT_REPORTS}) r"),
     "top_shorts": (top_shorts, sql.ranked(sql.EVENT_SNAPSHOT, 'WHERE "Position" < 100')),
+    "top_shorts_deep": (
+        top_shorts_deep,
+        sql.ranked(sql.EVENT_SNAPSHOT, f'WHERE "Position" < {DEEP_RANKS}'),
+    ),
     "full_ranking": (full_ranking, sql.ranked(sql.EVENT_SNAPSHOT)),
     "rank_all_positions": (
         rank_all_positions,
@@ -197,6 +216,10 @@ QUERIES = {
         ordered_movers_largest,
         sql.ordered_movers(sql.EVENT_SNAPSHOTS, sql.EVENT_DAY, "DESC"),
     ),
+    "ordered_movers_deep": (
+        ordered_movers_deep,
+        sql.ordered_movers(sql.EVENT_SNAPSHOTS, sql.EVENT_DAY, ranks=DEEP_RANKS),
+    ),
     "ordered_movers_positions": (ordered_movers_positions, POSITIONS_ORDERED),
     "ordered_movers_lineitem": (ordered_movers_lineitem, LINEITEM_ORDERED),
     "coded_movers": (coded_movers, EVENT_CODED),

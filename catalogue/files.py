@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 from catalogue import inputs, sql
 from ebbtide.functions.dates import anchor_numbers
 from ebbtide.operators.merge import merge_days
+from ebbtide.plans.jobs import backfill
 from ebbtide.plans.movers import run_sql
 from ebbtide.plans.normalise import (
     land_lines,
@@ -304,17 +306,25 @@ def strict_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.withColumn("percent", F.col("percent").cast("double"))
 
 
-STRICT = f"""SELECT d.date, c.code, c.name, coalesce(p.shorts, 0) AS shorts,
+def _over_days(codes: str, accepted: str, days: str) -> str:
+    return f"""SELECT d.date, c.code, c.name, coalesce(p.shorts, 0) AS shorts,
     coalesce(p.total, 0) AS total, coalesce(p.percent, 0) AS percent, c.industry
-    FROM ({LISTED}) c
-    CROSS JOIN (SELECT DISTINCT date FROM ({sql.EVENT_REPORTS}) r) d
+    FROM ({codes}) c CROSS JOIN ({days}) d
     LEFT JOIN (SELECT code, date, arg_max(shorts, shorts) AS shorts,
         arg_max(total, shorts) AS total, arg_max(percent, shorts) AS percent
-        FROM ({ACCEPTED}) a
-        WHERE date < (SELECT max(date) FROM ({sql.EVENT_REPORTS}) r) GROUP BY code, date) p
+        FROM ({accepted}) a GROUP BY code, date) p
     ON p.code = c.code AND p.date = d.date"""
 
 
+_REPORTED = f"SELECT DISTINCT date FROM ({sql.EVENT_REPORTS}) r"
+STRICT = _over_days(
+    LISTED,
+    f"""SELECT * FROM ({ACCEPTED}) b
+    WHERE date < (SELECT max(date) FROM ({sql.EVENT_REPORTS}) r)""",
+    _REPORTED,
+)
+
+
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, from files that arrive in two lots."""
     landing, table = scratch_path(spark, "landing"), scratch_path(spark, "days")
@@ -343,6 +353,87 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _report_files(spark: SparkSession, path: str, day: str = "*"):
+    """The file system of a landing folder, and its report files of a day."""
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = name(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = system.globStatus(name(f"{path}/report_date={day}/*.csv"))
+    return system, [status.getPath() for status in found]
+
+
+def corrected_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, in three runs: the later days; the earlier ones, as copies that keep old
+    times; then the last day's report corrected and the first one's emptied."""
+    landing, table = scratch_path(spark, "landing"), scratch_path(spark, "days")
+    mark, ledger = scratch_path(spark, "marks"), scratch_path(spark, "ledger")
+    report = report_lines(spark, sf_dir)
+    first, last = report.agg(F.min("report_date"), F.max("report_date")).first()
+    middle = (first + last) // 2
+
+    def ingest() -> None:
+        codes = lambda: inputs.event_codes(spark, sf_dir)
+        ingest_reports(spark, landing, codes, table, mark, ledger)
+
+    land_reports(report.where(F.col("report_date") > middle), landing)
+    ingest()
+    newer = {str(path) for path in _report_files(spark, landing)[1]}
+    land_reports(report.where(F.col("report_date") <= middle), landing)
+    system, found = _report_files(spark, landing)
+    for path in found:
+        if str(path) not in newer:
+            system.setTimes(path, 1_000_000_000_000, -1)
+    ingest()
+    for path in _report_files(spark, landing, str(last))[1]:
+        system.delete(path, False)
+    correction = F.regexp_replace("line", r"\t\x00?([0-9])([0-9\x00]*)\t([^\t]*)$", "\t9$1$2\t$3")
+    land_reports(report.where(F.col("report_date") == last).withColumn("line", correction), landing)
+    for path in _report_files(spark, landing, str(first))[1]:
+        system.create(path, True).close()
+    ingest()
+    newest = marks.read_mark(spark, mark, marks.LATEST_DAY)
+    return spark.read.parquet(table).select(
+        "code", "date", "industry", "name", "shorts", "total",
+        F.col("percent").cast("double").alias("percent"),
+        F.lit(int(newest)).alias("mark"),
+    )
+
+
+CORRECTED = _over_days(
+    sql.EVENT_CODES,
+    f"""SELECT code, date, shorts, percent,
+        CASE WHEN date = (SELECT max(date) FROM ({sql.EVENT_REPORTS}) r)
+             THEN cast('9' || total AS bigint) ELSE total END AS total
+    FROM ({ACCEPTED}) b WHERE date > (SELECT min(date) FROM ({sql.EVENT_REPORTS}) r)""",
+    _REPORTED,
+)
+
+# Days before the last one that the registered backfill begins and ends.
+BACKFILL_DAYS = (20, 5)
+
+
+def ranged_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report days of a range normalised from a landing folder in one job, and the
+    mark moved."""
+    listing, table = scratch_path(spark, "listing"), scratch_path(spark, "days")
+    mark = scratch_path(spark, "marks")
+    _land_listing(listing_lines(spark, sf_dir), listing)
+    day = inputs.event_day(spark, sf_dir)
+    start, end = (day - dt.timedelta(days=days) for days in BACKFILL_DAYS)
+    backfill(spark, listing, _landed(spark, sf_dir), table, mark, start, end)
+    newest = marks.read_mark(spark, mark, marks.LATEST_DAY)
+    return spark.read.parquet(table).select(
+        "code", "date", "industry", "name", "shorts", "total",
+        F.col("percent").cast("double").alias("percent"),
+        F.lit(int(newest)).alias("mark"),
+    )
+
+
+_START, _END = (sql.number(sql.days_back(sql.EVENT_DAY, days)) for days in BACKFILL_DAYS)
+_RANGE = f"{_REPORTED} WHERE date >= {_START} AND date < {_END}"
+BACKFILLED = f"""SELECT f.*, (SELECT max(date) FROM ({_RANGE}) m) AS mark
+    FROM ({_over_days(LISTED, ACCEPTED, _RANGE)}) f"""
+
+
 def changed_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two lots of files; the second is read past the mark the first one left."""
     path = scratch_path(spark, "reports")
@@ -394,6 +485,12 @@ QUERIES = {
         f"""SELECT f.*, (SELECT max(date) FROM ({sql.EVENT_REPORTS}) r) AS mark
         FROM ({FROM_FILES}) f""",
     ),
+    "corrected_ingest": (
+        corrected_ingest,
+        f"""SELECT f.*, (SELECT max(date) FROM ({sql.EVENT_REPORTS}) r) AS mark
+        FROM ({CORRECTED}) f""",
+    ),
+    "ranged_backfill": (ranged_backfill, BACKFILLED),
     "changed_since": (changed_since, CHANGED),
     "published_records": (
         published_records,

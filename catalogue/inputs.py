@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.dates import day_number, shifted, to_weekday
-from ebbtide.operators.dedup import last_wins
+from ebbtide.operators.dedup import last_wins, packed
 from ebbtide.operators.merge import MEASURES, merge_day, merge_days
 
 # The reference day of the line-item movers; all their baselines have data.
@@ -126,7 +126,7 @@ def lineitem_positions(
 
 
 def _latest_lineitems(reports: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
-    order = ["percent", "total", "l_linenumber"]
+    order = packed(("percent", 12, 2), ("total", 15, 0), ("l_linenumber", 5, 0))
     return last_wins(reports, ["code", "date"], order, measures)
 
 

@@ -114,7 +114,9 @@ def coded_movers(snapshots: str, day: str) -> str:
     return f'SELECT code AS "Code", {columns} FROM ({changes(snapshots, day)}) c'
 
 
-def ordered_movers(snapshots: str, day: str, direction: str = "ASC") -> str:
+def ordered_movers(
+    snapshots: str, day: str, direction: str = "ASC", ranks: int = 99
+) -> str:
     legs = ", ".join(
         f"""{h}_r AS (SELECT code, coalesce({h}, -99999999.0) AS change, row_number() OVER
         (ORDER BY abs({h}) {direction} NULLS LAST, code) AS n FROM ch)"""
@@ -127,7 +129,7 @@ def ordered_movers(snapshots: str, day: str, direction: str = "ASC") -> str:
     joins = " ".join(f"LEFT JOIN {h}_r ON {h}_r.n = day_r.n" for h in HORIZONS[1:])
     return f"""WITH ch AS MATERIALIZED ({changes(snapshots, day)}), {legs}
     SELECT cast(day_r.n AS integer) AS "Position", {columns} FROM day_r {joins}
-    WHERE day_r.n < 100"""
+    WHERE day_r.n <= {ranks}"""
 
 
 def ranked(rows: str, where: str = "") -> str:

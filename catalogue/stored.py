@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from catalogue import daily, inputs, sql
 from ebbtide.functions.dates import shifted
 from ebbtide.operators import lookup
-from ebbtide.plans import jobs, movers, queries, rankings
+from ebbtide.plans import hooks, jobs, movers, queries, rankings
 from ebbtide.schemas import MARKS
 from ebbtide.session import materialise, scratch_path
 from ebbtide.sinks import keyed, marks
+from ebbtide.sinks.buckets import read_buckets, rows_of_key, upsert_buckets
 from ebbtide.sinks.days import write_days
 from ebbtide.sinks.records import keyed_records
 
@@ -98,21 +99,73 @@ def _harmed(rows: DataFrame, number: Column, harms: dict[int, tuple[str, str | N
     return text.drop("_digit")
 
 
-def decode_ordered_harmed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ordered movers as text with missing and unreadable slots, decoded."""
+def _harmed_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mover_tables(spark, sf_dir)[0]
     harms = {
         1: ("MonthChange", None), 2: ("YearChange", "1,5"), 3: ("WeekCode", None),
         4: ("Position", "4th"), 5: ("Position", None),
     }
-    return movers.decode_ordered(_harmed(rows, F.col("Position"), harms))
+    return _harmed(rows, F.col("Position"), harms)
 
 
-def decode_coded_harmed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes per code as text with missing and unreadable slots, decoded."""
+def _harmed_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mover_tables(spark, sf_dir)[1]
     harms = {1: ("DayChange", None), 2: ("WeekChange", "n/a"), 3: ("Code", None)}
-    return movers.decode_coded(_harmed(rows, F.col("Code").cast("long"), harms))
+    return _harmed(rows, F.col("Code").cast("long"), harms)
+
+
+def decode_ordered_harmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered movers as text with missing and unreadable slots, decoded."""
+    return movers.decode_ordered(_harmed_ordered(spark, sf_dir))
+
+
+def decode_coded_harmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes per code as text with missing and unreadable slots, decoded."""
+    return movers.decode_coded(_harmed_coded(spark, sf_dir))
+
+
+def _decoded_by_sql(rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    spark = rows.sparkSession
+    hooks.create_decoders(spark)
+    rows.createOrReplaceTempView("harmed_rows")
+    return movers.run_sql(
+        spark, f"SELECT d.* FROM harmed_rows r, LATERAL {hooks.call(name, columns, 'r')} d"
+    )
+
+
+def decode_ordered_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the decoder as a table function within SQL text."""
+    rows = _harmed_ordered(spark, sf_dir)
+    return _decoded_by_sql(rows, "decode_ordered", movers.ORDERED_COLUMNS)
+
+
+def decode_coded_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _harmed_coded(spark, sf_dir)
+    return _decoded_by_sql(rows, "decode_coded", movers.CODED_COLUMNS)
+
+
+def bucket_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All positions put by code and day into a table in buckets, then those of the last
+    day again with another total."""
+    root = scratch_path(spark, "buckets")
+    rows = inputs.event_positions(spark, sf_dir)
+    day = int(f"{inputs.event_day(spark, sf_dir):%Y%m%d}")
+    upsert_buckets(rows, root, ["code", "date"])
+    again = rows.where(F.col("date") == day).withColumn("total", -F.col("total"))
+    upsert_buckets(again, root, ["code", "date"])
+    return read_buckets(spark, root)
+
+
+BUCKET_UPSERT = f"""SELECT code, date, shorts, percent,
+    CASE WHEN date = (SELECT max(date) FROM ({sql.EVENT_POSITIONS}) q) THEN -total ELSE total END
+    AS total FROM ({sql.EVENT_POSITIONS}) p"""
+
+
+def bucket_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of one code, from the bucket that holds it."""
+    root = scratch_path(spark, "buckets")
+    upsert_buckets(mover_tables(spark, sf_dir)[1], root, ["Code"])
+    return rows_of_key(spark, root, Code=_leader(spark, sf_dir))
 
 
 def top_movers_harmed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,6 +411,9 @@ QUERIES = {
     ),
     "decode_ordered_harmed": (decode_ordered_harmed, DECODED_ORDERED),
     "decode_coded_harmed": (decode_coded_harmed, DECODED_CODED),
+    "decode_ordered_by_sql": (decode_ordered_by_sql, DECODED_ORDERED),
+    "decode_coded_by_sql": (decode_coded_by_sql, DECODED_CODED),
+    "bucket_upsert": (bucket_upsert, BUCKET_UPSERT),
     "top_movers_harmed": (top_movers_harmed, TOP_HARMED),
     "coded_movers_harmed": (
         coded_movers_harmed,
@@ -367,6 +423,10 @@ QUERIES = {
         point_lookup,
         _rounded(daily.EVENT_CODED) + f' WHERE "Code" = {LEADER}',
     ),
+    "bucket_lookup": (
+        bucket_lookup,
+        _rounded(daily.EVENT_CODED) + f' WHERE "Code" = {LEADER}',
+    ),
     "key_date_lookup": (
         key_date_lookup,
         SERIES + f" WHERE date = {sql.number(sql.EVENT_DAY)} AND code = {LEADER}",

@@ -3,26 +3,71 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Types whose values an aggregation buffer can change in place.
+_FIXED = (T.IntegralType, T.FractionalType, T.BooleanType, T.DateType, T.TimestampType)
 
 
 def last_wins(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] | Column,
+    values: Sequence[str],
+    unique: bool = False,
 ) -> DataFrame:
     """``keys`` and ``values`` of each key's row that comes last in ``order``.
 
     An aggregate, not a window: rows of a frequent key are reduced where they are
-    read, and at most one per task and key is shuffled. With a single number to
-    order by, the aggregation buffers are fixed-width and hash aggregation applies;
-    otherwise one struct is compared, ordered by ``order`` first.
+    read, and at most one per task and key is shuffled. With one number to order by
+    (see :func:`packed` for several) the buffers of numeric values are fixed-width, so
+    hash aggregation applies. Values of other types need a sort, or, where the order is
+    ``unique`` to a row of a stored ``df``, come from the rows that a hash aggregation
+    found the places of. Several order columns are compared as a struct.
     """
-    if len(order) == 1:
-        newest = [F.max_by(value, order[0]).alias(value) for value in values]
+    if not isinstance(order, Column) and len(order) == 1:
+        order = F.col(order[0])
+    if isinstance(order, Column):
+        df = df.select(*keys, *values, order.alias("_order"))
+        fixed = all(isinstance(df.schema[value].dataType, _FIXED) for value in values)
+        if unique and not fixed:
+            last = df.groupBy(*keys).agg(F.max("_order").alias("_order")).select("_order")
+            return df.join(last, "_order", "left_semi").select(*keys, *values)
+        newest = [F.max_by(value, "_order").alias(value) for value in values]
         return df.groupBy(*keys).agg(*newest)
     ordering = [F.col(name).alias(f"order_{i}") for i, name in enumerate(order)]
     newest = F.max(F.struct(*ordering, *values)).alias("newest")
     return (
         df.groupBy(*keys).agg(newest).select(*keys, *[f"newest.{value}" for value in values])
     )
+
+
+def packed(*parts: tuple[str, int, int]) -> Column:
+    """Numbers one above the other in one decimal, to order rows by.
+
+    Each part is a column that is not negative, and how many digits before and after the
+    point it has at most, 38 in all. A value with more is an error, never a wrong order;
+    NULLs come first.
+    """
+    if sum(whole + after for _, whole, after in parts) > 38 - len(parts):
+        raise ValueError("more digits than a decimal has")
+    total = None
+    for name, whole, after in parts:
+        value, limit = F.col(name), 10**whole
+        exact = value.cast(T.DecimalType(whole + after + 1, after))
+        fits = (value >= 0) & (value < limit) & (exact == value)
+        wrong = F.raise_error(F.lit(f"{name} has more digits than its place")).cast(
+            T.DecimalType(whole + after + 1, after)
+        )
+        # One more than the value; NULL is 0.
+        digits = F.when(value.isNull(), F.lit(0)).when(fits, exact + 1).otherwise(wrong)
+        digits = (digits * 10**after).cast(T.DecimalType(whole + after + 1, 0))
+        if total is not None:
+            above = F.lit(Decimal(10 ** (whole + after + 1)))
+            digits = (total * above).cast("decimal(38,0)") + digits
+        total = digits.cast("decimal(38,0)")
+    return total

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ebbtide.functions.dates import Day, anchor_numbers
 from ebbtide.functions.numbers import NO_BASELINE, parse_double, parse_long, widened
 from ebbtide.operators.changes import HORIZONS, changes
+from ebbtide.operators.rank import LIMITED_RANKS, ranked_within
 
 # Fixed value: how many ranks the report keeps.
 REPORTED_RANKS = 99
@@ -52,24 +53,29 @@ def ordered_changes(
 
     The smallest change comes first unless ``largest_first``; codes without a
     baseline come last. The wide table of changes is read once for all four
-    horizons, and each task passes on at most ``ranks`` rows per horizon.
+    horizons, and each task passes on at most ``ranks`` rows per horizon; above
+    ``LIMITED_RANKS`` ranks a horizon is sorted over ranges of its rows instead.
     """
     size = F.abs("change")
     by_size = size.desc_nulls_last() if largest_first else size.asc_nulls_last()
-    within = Window.partitionBy("horizon").orderBy(by_size, "code")
-    ranked = (
-        wide.unpivot(["code"], list(HORIZONS), "horizon", "change")
-        .withColumn("Position", F.row_number().over(within))
-        .where(F.col("Position") <= ranks)
-    )
+    changed = wide.unpivot(["code"], list(HORIZONS), "horizon", "change")
+    deep = ranks > LIMITED_RANKS
+    if deep:
+        ranked = ranked_within(changed, "horizon", [by_size, F.asc("code")], "place")
+        ranked = ranked.withColumn("Position", (F.col("place") + 1).cast("int"))
+    else:
+        within = Window.partitionBy("horizon").orderBy(by_size, "code")
+        ranked = changed.withColumn("Position", F.row_number().over(within))
+    ranked = ranked.where(F.col("Position") <= ranks)
     side_by_side = []
     for h in HORIZONS:
         here = F.col("horizon") == h
         change = F.coalesce(F.col("change"), F.lit(NO_BASELINE))
         side_by_side.append(F.max(F.when(here, F.col("code"))).alias(f"{h.title()}Code"))
         side_by_side.append(F.max(F.when(here, change)).alias(f"{h.title()}Change"))
-    # There are no more rows than ranks, so sorting them takes no range exchange.
-    return ranked.groupBy("Position").agg(*side_by_side).orderBy("Position").limit(ranks)
+    rows = ranked.groupBy("Position").agg(*side_by_side).orderBy("Position")
+    # There are no more rows than ranks, so sorting a few takes no range exchange.
+    return rows if deep else rows.limit(ranks)
 
 
 def create_anchor_views(snapshots: DataFrame, as_of: Day) -> dict[str, DataFrame]:

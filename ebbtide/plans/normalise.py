@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.dates import Day, day_number
 from ebbtide.operators.dedup import last_wins
+from ebbtide.session import materialise
 from ebbtide.operators.merge import MEASURES, merge_day, merge_days
 from ebbtide.sources import lines, reports
 
 
 def latest_listing(rows: DataFrame, order: tuple[str, ...] = lines.LINE_ORDER) -> DataFrame:
     """One row per code, the last one listed."""
-    return last_wins(rows, ["code"], order, ["name", "industry"])
+    columns = ["code", "name", "industry"]
+    return last_wins(materialise(rows.select(*columns, *order)), ["code"], order, columns[1:], True)
 
 
 def latest_positions(rows: DataFrame, order: tuple[str, ...] = lines.LINE_ORDER) -> DataFrame:

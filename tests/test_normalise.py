@@ -1,11 +1,15 @@
 import datetime as dt
+import gzip
+import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.operators.dedup import last_wins
+from ebbtide.operators.dedup import last_wins, packed
 from ebbtide.operators.merge import merge_day, merge_days
 from ebbtide.plans import normalise
+from ebbtide.sources import lines, reports
 from tests.test_sources import put, report
 
 CODES = "code string, name string, industry string"
@@ -130,3 +134,70 @@ def test_merge_shuffles_neither_names_per_day_nor_a_grid(spark, plan_of):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     day = normalise.between_days(positions, dt.date(2018, 10, 1), F.lit("2018-10-02").cast("date"))
     assert day.count() == 1
+
+
+def test_packed_order(spark):
+    maker = random.Random(4)
+    rows = [
+        (maker.choice([0.0, 0.25, 7.5, 99999.99, None]), maker.choice([0, 3, 10**14, None]), n)
+        for n in range(300)
+    ]
+    df = spark.createDataFrame(rows, "p double, t bigint, n int")
+    order = packed(("p", 5, 2), ("t", 15, 0), ("n", 3, 0))
+    assert order is not None
+    got = [(r.p, r.t, r.n) for r in df.orderBy(order).collect()]
+    low = -1
+    assert got == sorted(rows, key=lambda r: [low if v is None else v for v in r])
+    for bad in ((100000.0, 1, 1), (0.001, 1, 1), (-1.0, 1, 1), (1.0, 1, 1000)):
+        with pytest.raises(Exception, match="more digits"):
+            spark.createDataFrame([bad], "p double, t bigint, n int").select(order).collect()
+    with pytest.raises(ValueError, match="digits"):
+        packed(("p", 20, 0), ("t", 18, 0))
+
+
+def test_last_of_strings_by_a_unique_order(spark, rows_of):
+    rows = [("A", "x", 1), ("A", "y", 3), ("A", None, 2), ("B", "z", 0), (None, "n", 9)]
+    df = spark.createDataFrame(rows, "code string, name string, seq bigint")
+    for unique in (False, True):
+        last = last_wins(df, ["code"], ["seq"], ["name"], unique)
+        assert sorted(map(tuple, last.collect()), key=repr) == sorted(
+            [("A", "y"), ("B", "z"), (None, "n")], key=repr
+        )
+
+
+def test_positions_of_lines_follow_files_and_splits(spark, tmp_path):
+    sizes = {"spark.sql.files.maxPartitionBytes": "64b", "spark.sql.files.openCostInBytes": "4b"}
+    before = {name: spark.conf.get(name) for name in sizes}
+    for name, time in (("b.csv", 100), ("a.csv", 300), ("c.csv", 200), ("d.csv", 200)):
+        path = put(tmp_path / name, "".join(f"{name},{n:03}\n" for n in range(60)))
+        os.utime(path, (1_600_000_000 + time,) * 2)
+    packed_path = tmp_path / "e.csv.gz"
+    packed_path.write_bytes(gzip.compress("".join(f"e.csv,{n:03}\n" for n in range(60)).encode()))
+    os.utime(packed_path, (1_600_000_250,) * 2)
+    try:
+        for name, value in sizes.items():
+            spark.conf.set(name, value)
+        landed = lines.read_lines(spark, str(tmp_path))
+        assert landed.select("file", "block").distinct().count() > 20
+        rows = landed.orderBy(*lines.LINE_ORDER).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len({r.position for r in rows}) == 300
+    found = [r.line for r in rows]
+    whole = {n: [f"{n},{i:03}" for i in range(60)] for n in ("a.csv", "b.csv", "c.csv", "d.csv", "e.csv")}
+    starts = [found[i].split(",")[0] for i in range(0, 300, 60)]
+    assert starts[0] == "b.csv" and starts[3:] == ["e.csv", "a.csv"]
+    assert found == [line for name in starts for line in whole[name]]
+
+
+def test_last_wins_without_a_sort(spark, tmp_path, plan_of):
+    listing = put(tmp_path / "codes.csv", "Alpha,AAA,X\nAlpha 2,AAA,Y\n")
+    report(tmp_path / "r", "20190614", "Alpha\tAAA\t1\t2\t0.5\nAlpha\tAAA\t3\t4\t0.5\n")
+    whole = normalise.normalise_folder(spark, listing, str(tmp_path / "r"))
+    assert [(r.code, r.name, r.shorts) for r in whole.collect()] == [("AAA", "Alpha 2", 3)]
+    positions = normalise.latest_positions(reports.read_positions(spark, str(tmp_path / "r")))
+    for df in (whole, positions):
+        plan = plan_of(df)
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.functions.numbers import NO_BASELINE
-from ebbtide.operators.rank import all_ranked, first_ranked
+from ebbtide.operators.rank import all_ranked, first_ranked, ranked_within
 from ebbtide.plans import movers, rankings
 
 TUESDAY = dt.date(2018, 10, 9)
@@ -46,6 +46,62 @@ def test_full_ranking_is_spread_over_tasks(spark):
     assert len(sizes) == 8 and max(sizes) < 1000
 
 
+def test_ranks_within_groups(spark):
+    rng = random.Random(12)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.randrange(5), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v int, i int").repartition(9)
+    found = ranked_within(df, "g", [F.desc("v"), F.asc("i")], "n")
+    assert found.columns == ["g", "v", "i", "n"]
+    expected = []
+    for group in ("a", "b", None):
+        own = sorted((r for r in rows if r[0] == group), key=lambda r: (-r[1], r[2]))
+        expected += [(*r, n) for n, r in enumerate(own)]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("largest_first", [False, True])
+def test_more_ranks_than_a_window_cuts(spark, plan_of, largest_first):
+    rng = random.Random(13)
+    wide = [
+        (f"C{i:05}", *[None if rng.random() < 0.1 else rng.randrange(-300, 300) / 4 for _ in range(4)])
+        for i in range(2500)
+    ]
+    schema = "code string, day double, week double, month double, year double"
+    df = spark.createDataFrame(wide, schema).repartition(7)
+    deep = movers.ordered_changes(df, 2200, largest_first)
+    assert "WindowGroupLimit" not in plan_of(deep)
+    sign = -1 if largest_first else 1
+
+    def ranked(n):
+        own = sorted(wide, key=lambda r: (r[n] is None, sign * abs(r[n] or 0), r[0]))
+        return [(r[0], NO_BASELINE if r[n] is None else r[n]) for r in own[:2200]]
+
+    sides = [ranked(n) for n in range(1, 5)]
+    expected = [(i + 1, *[v for side in sides for v in side[i]]) for i in range(2200)]
+    assert [tuple(r) for r in deep.collect()] == expected
+    few = movers.ordered_changes(df, 50, largest_first).collect()
+    assert [tuple(r) for r in few] == expected[:50]
+
+
+def test_many_ranks_meet_in_no_single_task(spark):
+    """5,000 ranks over a million codes: no task holds a horizon."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        wide = spark.range(1_000_000, numPartitions=8).select(
+            F.col("id").cast("string").alias("code"),
+            *[F.pmod(F.xxhash64("id", F.lit(n)), F.lit(1000)).cast("double").alias(h)
+              for n, h in enumerate(movers.HORIZONS)],
+        )
+        changed = wide.unpivot(["code"], list(movers.HORIZONS), "horizon", "change")
+        ranked = ranked_within(changed, "horizon", [F.asc("change"), F.asc("code")], "n")
+        sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
+        deep = movers.ordered_changes(wide, 5000)
+        assert deep.count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 8 and max(sizes) < 700_000
+
+
 def test_rankings_of_nothing(spark):
     df = spark.createDataFrame([], "code string, percent double")
     order = [F.desc("percent"), F.asc("code")]
