@@ -23,6 +23,7 @@ from ebbtide.schemas import LISTING
 from ebbtide.session import scratch_path
 from ebbtide.sinks import keyed, marks
 from ebbtide.sinks.days import write_documents
+from ebbtide.sinks.requests import read_requests, send_records
 from ebbtide.sources import lines, reports, snapshots
 from ebbtide.streaming.ingest import ingest_reports, publish_records
 
@@ -467,6 +468,23 @@ def published_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sent_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored positions as a stream to a message sink, in requests of bounded size, read
+    back from the requests that were published."""
+    path, out = scratch_path(spark, "positions"), scratch_path(spark, "requests")
+    keyed.replace(inputs.event_positions(spark, sf_dir), path)
+    stored = keyed.read_table(spark, path)
+    stream = spark.readStream.schema(stored.schema).parquet(f"{path}/v1")
+    send_records(stream, "code", out, scratch_path(spark, "progress")).awaitTermination()
+    shape = "code string, date int, shorts bigint, total bigint, percent double"
+    return (
+        read_requests(spark, out)
+        .select(F.inline("records"))
+        .select("key", F.from_json("value", shape).alias("r"))
+        .select("key", "r.*")
+    )
+
+
 QUERIES = {
     "tsv_scan": (tsv_scan, ACCEPTED),
     "rejected_rows": (rejected_rows, REJECTED),
@@ -492,6 +510,7 @@ QUERIES = {
     ),
     "ranged_backfill": (ranged_backfill, BACKFILLED),
     "changed_since": (changed_since, CHANGED),
+    "sent_records": (sent_records, f"SELECT code AS key, * FROM ({sql.EVENT_POSITIONS}) p"),
     "published_records": (
         published_records,
         f"SELECT code AS key, * FROM ({sql.EVENT_POSITIONS}) p",

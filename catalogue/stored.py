@@ -17,6 +17,7 @@ from ebbtide.sinks import keyed, marks
 from ebbtide.sinks.buckets import read_buckets, rows_of_key, upsert_buckets
 from ebbtide.sinks.days import write_days
 from ebbtide.sinks.records import keyed_records
+from ebbtide.sinks.series import read_series, write_series
 
 
 def series_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,6 +271,26 @@ def top_series_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_MONTH_START = sql.number(sql.shifted("month", sql.EVENT_DAY))
+
+
+def series_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month's series of all codes as documents of a bounded number of codes, read
+    back as points."""
+    path = scratch_path(spark, "series-documents")
+    ranked, series = ranked_table(spark, sf_dir), series_table(spark, sf_dir)
+    every = ranked.count()
+    day = inputs.event_day(spark, sf_dir)
+    write_series(queries.top_series(ranked, series, every, "month", day), path)
+    points = read_series(spark, path).select("Code", F.inline("series"))
+    return points.select("Code", "Date", "Percent")
+
+
+SERIES_DOCUMENTS = f"""SELECT code AS "Code", date AS "Date", round(percent, 6) AS "Percent"
+    FROM ({sql.EVENT_SNAPSHOTS}) s
+    WHERE date BETWEEN {_MONTH_START} AND {sql.number(sql.EVENT_DAY)}"""
+
+
 def top_shorts_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The leading codes as one JSON array, read back as rows with their place in it."""
     answer = queries.answer_json(top_shorts_query(spark, sf_dir))
@@ -277,14 +298,17 @@ def top_shorts_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answer.select(F.posexplode(F.from_json("json", shape))).select("pos", "col.*")
 
 
-TOP_SERIES = f"""WITH snap AS MATERIALIZED ({sql.EVENT_SNAPSHOTS}),
-    top AS (SELECT code FROM snap WHERE date = {sql.number(sql.EVENT_DAY)}
-        ORDER BY percent DESC, code LIMIT 100)
-    SELECT code AS "Code",
-        cast(row_number() OVER (PARTITION BY code ORDER BY date) - 1 AS integer) AS pos,
-        date AS "Date", round(percent, 6) AS "Percent"
-    FROM snap WHERE code IN (SELECT code FROM top) AND date BETWEEN
-        {sql.number(sql.shifted('month', sql.EVENT_DAY))} AND {sql.number(sql.EVENT_DAY)}"""
+TOP_SERIES = f"""WITH held AS MATERIALIZED (SELECT * FROM ({sql.EVENT_POSITIONS}) p
+        WHERE date BETWEEN {_MONTH_START} AND {sql.number(sql.EVENT_DAY)}),
+    top AS (SELECT c.code FROM ({sql.EVENT_CODES}) c
+        LEFT JOIN held h ON h.code = c.code AND h.date = {sql.number(sql.EVENT_DAY)}
+        ORDER BY coalesce(h.percent, 0) DESC, c.code LIMIT 100),
+    days AS (SELECT DISTINCT date FROM held)
+    SELECT t.code AS "Code",
+        cast(row_number() OVER (PARTITION BY t.code ORDER BY d.date) - 1 AS integer) AS pos,
+        d.date AS "Date", round(coalesce(h.percent, 0), 6) AS "Percent"
+    FROM top t CROSS JOIN days d
+    LEFT JOIN held h ON h.code = t.code AND h.date = d.date"""
 _WEEK_START = sql.number(sql.shifted("week", sql.EVENT_DAY))
 
 
@@ -457,6 +481,7 @@ QUERIES = {
         top_series_json,
         f'SELECT "Code", "Date", "Percent" FROM ({TOP_SERIES}) t',
     ),
+    "series_documents": (series_documents, SERIES_DOCUMENTS),
     "top_shorts_json": (
         top_shorts_json,
         f"""SELECT cast("Position" AS integer) AS pos, "Position" AS position, "Code" AS code,

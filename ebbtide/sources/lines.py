@@ -2,7 +2,7 @@
 
 Files are read in splits, so no task ever holds a whole file. A line's place in
 its file is ``(block, seq)``: the byte offset of its split and a number that grows
-within the split. Its place among all lines read is ``position``, one 64-bit number.
+within the split.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import datetime as dt
 import re
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.dates import parse_instant
@@ -24,50 +24,11 @@ PREAMBLE_LINES = 3
 # File names that text scans decompress.
 COMPRESSED = r"\.(gz|bz2|deflate|lz4|snappy|zst)$"
 
-# Where a line stands among all lines read, oldest file first; files of one time come
-# in the order of a number made from their path. One number, so that aggregation
-# buffers that compare places are of fixed width.
-LINE_ORDER = ("position",)
-LINE_PLACE = ("file", "modified", "file_id", "block", "seq", "position")
-# monotonically_increasing_id keeps a task's rows in the lowest 33 bits.
-_ROW_BITS = 33
-_UNIT_BITS = 30
-_SIZES = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30}
-
-
-def _conf_bytes(spark: SparkSession, name: str) -> int:
-    number, unit = re.fullmatch(r"(\d+)\s*([a-z]*)", spark.conf.get(name).lower()).groups()
-    return int(number) * _SIZES[unit]
-
-
-def _split_unit(spark: SparkSession) -> int:
-    """No split of a file but its last is shorter than this many bytes."""
-    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    return max(1, min(_conf_bytes(spark, name) for name in names))
-
-
-def _file_bases(spark: SparkSession, path: str | list[str], unit: int) -> DataFrame:
-    """``(file_id, base)``: how many units the files before a file have. One row per file,
-    from their listing; no content is read."""
-    files = _files(spark, path).select(
-        F.xxhash64("_metadata.file_path").alias("file_id"),
-        F.col("_metadata.file_modification_time").alias("modified"),
-        (F.floor(F.col("_metadata.file_size") / F.lit(unit)) + 1).alias("units"),
-    )
-    before = Window.orderBy("modified", "file_id").rowsBetween(Window.unboundedPreceding, -1)
-    base = F.coalesce(F.sum("units").over(before), F.lit(0)).cast("long")
-    return files.select("file_id", base.alias("base"))
-
-
-def _position(unit: int) -> Column:
-    """The unit a line's split begins in, above its row within the task."""
-    units = F.col("base") + F.floor(F.col("block") / F.lit(unit)).cast("long")
-    row = F.col("seq").bitwiseAND((1 << _ROW_BITS) - 1)
-    too_many = F.raise_error(F.lit("too many units: raise spark.sql.files.openCostInBytes"))
-    return F.when(
-        units < 1 << _UNIT_BITS, F.shiftleft(units, _ROW_BITS).bitwiseOR(row)
-    ).otherwise(too_many.cast("long"))
+# Where a line stands among all lines read, oldest file first. Files of one time come
+# in the order of a number made from their path: paths in the rows to be compared
+# would make the largest part of them.
+LINE_ORDER = ("modified", "file_id", "block", "seq")
+LINE_PLACE = ("file", *LINE_ORDER)
 
 
 def read_lines(
@@ -89,8 +50,7 @@ def read_lines(
         changed = F.unix_micros("_metadata.file_modification_time")
         since = modified_after - dt.datetime.fromtimestamp(0, dt.UTC)
         raw = raw.where(changed > since // dt.timedelta(microseconds=1))
-    unit = _split_unit(spark)
-    placed = raw.select(
+    return raw.select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file"),
         F.xxhash64("_metadata.file_path").alias("file_id"),
@@ -99,11 +59,6 @@ def read_lines(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
     )
-    # One row per file, no more than the listing the driver holds.
-    bases = F.broadcast(_file_bases(spark, path, unit))
-    return placed.join(bases, "file_id").select(
-        *placed.columns, _position(unit).alias("position")
-    )
 
 
 def changed_lines(spark: SparkSession, path: str | list[str], mark: str) -> DataFrame:

@@ -55,10 +55,3 @@ def test_reports_land_under_their_own_names(spark, tmp_path):
     assert sorted(names) == sorted(
         f"RR{row[0]:%Y%m%d}-001-SSDailyAggShortPos.csv" for row in days.collect()
     )
-
-
-def test_last_wins_plans_hold_no_sort_aggregation(spark, plan_of):
-    queries = contract.queries()
-    for name in ("normalise_from_files", "listing_scan", "dedup_last_wins_lineitem"):
-        plan = plan_of(queries[name](spark, str(TABLES)))
-        assert "SortAggregate" not in plan, name
