@@ -3,6 +3,8 @@
 Filters of several widths slide over embedded bytes; the greatest response of each
 filter in a window of fixed length goes to a softmax layer. The network is trained in
 numpy on labelled windows and applied to all windows of every text in large batches.
+One more class, of made-up text that is like no language, is learned beside them; its
+share tells how much of a text is in any of the languages.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ EMBEDDING = 6
 TRAINING_ROWS = 700
 EPOCHS = 8
 UNKNOWN = "und"
-# Documents whose best language scores less are rejected by the pipeline.
-LEAST_SCORE = 0.3
+# Documents of which the languages have a smaller share are rejected by the pipeline.
+LEAST_SHARE = 0.1
 _BATCH_WINDOWS = 512
 
 
@@ -36,9 +38,14 @@ class Network:
     embedding: np.ndarray  # byte, dimension
     filters: np.ndarray  # width x dimension, filter
     bias: np.ndarray  # filter
-    output: np.ndarray  # filter, language
+    output: np.ndarray  # filter, language; the last column is for none of them
     output_bias: np.ndarray  # language
 
+    def parts(self) -> tuple:
+        """What a worker needs to put the network together; plain values only, as the
+        workers need no copy of this library."""
+        return tuple(vars(self).values())
+
 
 def windows_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All windows of the texts in lower case, cut one after the other and padded with
@@ -71,7 +78,7 @@ def _responses(network: Network, patches: np.ndarray) -> np.ndarray:
 
 def probabilities(network: Network, windows: np.ndarray) -> np.ndarray:
     """The network's softmax for each window."""
-    out = np.zeros((len(windows), len(network.languages)), np.float32)
+    out = np.zeros((len(windows), len(network.output_bias)), np.float32)
     for first in range(0, len(windows), _BATCH_WINDOWS):
         part = windows[first : first + _BATCH_WINDOWS]
         pooled = _responses(network, _patches(network, part)).max(1) + network.bias
@@ -94,26 +101,60 @@ def _width_mask() -> np.ndarray:
     return mask
 
 
+def like_none(texts: list[str], rng: np.random.Generator) -> list[str]:
+    """Made-up texts that are like no language: characters of the texts in random order,
+    random keys and consonants, few characters over and over, tags and numbers, and
+    characters of any script."""
+    keys = list("qwertyuiopasdfghjklzxcvbnm1234567890;,./ ")
+    consonants = list("bcdfghjklmnpqrstvwxz ")
+    scraps = ["<br/>", "</div>", "<a href=", "&nbsp;", "0x", "{", "};", "id=", "==", "#", "_", "|"]
+    out = []
+    for i, text in enumerate(texts):
+        size = int(rng.integers(20, WINDOW))
+        kind = i % 6
+        if kind == 0:
+            made = "".join(rng.permutation(list(text)))
+        elif kind == 1:
+            made = "".join(rng.choice(keys, size))
+        elif kind == 2:
+            made = "".join(rng.choice(consonants, size))
+        elif kind == 3:
+            few = [chr(c) for c in rng.integers(33, 127, int(rng.integers(1, 4)))]
+            made = "".join(rng.choice(few, size))
+        elif kind == 4:
+            parts = [str(n) for n in rng.integers(0, 10**6, 12)] + scraps
+            made = "".join(rng.choice(parts, size // 4))
+        else:
+            low = int(rng.choice([0x370, 0x400, 0x590, 0x900, 0xE00, 0x3040, 0x4E00, 0xAC00]))
+            made = "".join(map(chr, rng.integers(low, low + 200, size // 2)))
+        out.append(made)
+    return out
+
+
 def fit(texts: list[str], languages: list[str], seed: int = 7) -> Network:
-    """A network trained with Adam on windows of the texts, languages weighted alike.
+    """A network trained with Adam on windows of the texts, languages weighted alike, and
+    like them as many made-up texts as there are for a language.
 
     Each epoch cuts some windows short, so that short texts are met as well.
     """
     names = sorted(set(languages))
     index = {name: i for i, name in enumerate(names)}
     rng = np.random.default_rng(seed)
-    windows, owner, sizes = windows_of(texts)
-    target = np.array([index[name] for name in languages], np.int64)[owner]
-    share = np.bincount(target, minlength=len(names)) / max(1, len(target))
-    weight = 1 / (len(names) * np.maximum(share, 1e-9))
+    made = like_none(list(rng.permutation(texts)[: -(-len(texts) // len(names))]), rng)
+    classes = len(names) + 1
+    windows, owner, sizes = windows_of([*texts, *made])
+    target = [index[name] for name in languages] + [len(names)] * len(made)
+    target = np.array(target, np.int64)[owner]
+    share = np.bincount(target, minlength=classes) / max(1, len(target))
+    weight = 1 / (classes * np.maximum(share, 1e-9))
     mask = _width_mask()
     network = Network(
         names,
         rng.normal(0, 0.5, (256, EMBEDDING)).astype(np.float32),
         (rng.normal(0, 0.3, mask.shape) * mask).astype(np.float32),
         np.zeros(mask.shape[1], np.float32),
-        rng.normal(0, 0.2, (mask.shape[1], len(names))).astype(np.float32),
-        np.zeros(len(names), np.float32),
+        rng.normal(0, 0.2, (mask.shape[1], classes)).astype(np.float32),
+        np.zeros(classes, np.float32),
     )
     fields = ("embedding", "filters", "bias", "output", "output_bias")
     moments = {f: [np.zeros_like(getattr(network, f)) for _ in range(2)] for f in fields}
@@ -198,20 +239,22 @@ def train(
 
 def judged(
     network: Network | None, texts: list[str], lettered: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """The language and its score of each text; ``lettered`` tells which have letters."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The language of each text, its score, and the share of all languages; ``lettered``
+    tells which have letters."""
     names = np.array([UNKNOWN] * len(texts), object)
-    scores = np.zeros(len(texts))
+    scores, shares = np.zeros(len(texts)), np.zeros(len(texts))
     asked = np.flatnonzero(lettered)
     for part in slices([texts[i] for i in asked]) if network is not None else ():
         own = asked[part]
         windows, owner, sizes = windows_of([texts[i] for i in own])
-        found = probabilities(network, windows) * sizes[:, None]
+        found = probabilities(network, windows)[:, :-1] * sizes[:, None]
         total = np.stack([np.bincount(owner, share, len(own)) for share in found.T], 1)
         total /= np.bincount(owner, sizes, len(own))[:, None]
         names[own] = np.array(network.languages, object)[total.argmax(1)]
         scores[own] = np.clip(total.max(1), 0, 1)
-    return names, scores
+        shares[own] = np.clip(total.sum(1), 0, 1)
+    return names, scores, shares
 
 
 def _lettered(text: str) -> Column:
@@ -224,16 +267,17 @@ def identify(
     """``id``, ``lang_pred`` and ``score`` of every row of ``docs``.
 
     The score of a language is its probability averaged over all windows of the text by
-    their bytes; ties go by name. Texts that are null or have no letter, and all texts
+    their bytes, however long it is; ties go by name. Texts that are null or have no letter, and all texts
     where nothing could be learned, are ``und`` with score 0. Rows that repeat are each
     scored; an empty table gives no rows; other columns are not read.
     """
-    broadcast = docs.sparkSession.sparkContext.broadcast(network)
+    broadcast = docs.sparkSession.sparkContext.broadcast(network and network.parts())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = broadcast.value and Network(*broadcast.value)
         for batch in batches:
             lettered = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            names, scores = judged(broadcast.value, batch.column(1).to_pylist(), lettered)
+            names, scores, _ = judged(network, batch.column(1).to_pylist(), lettered)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores)],
                 ["id", "lang_pred", "score"],
@@ -247,20 +291,22 @@ def identify(
 
 
 def confident(
-    docs: DataFrame, network: Network | None, text: str = "text", least: float = LEAST_SCORE
+    docs: DataFrame, network: Network | None, text: str = "text", least: float = LEAST_SHARE
 ) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of ``least`` or more,
-    with all their columns. Rules as in :func:`identify`; where nothing could be
+    """The rows of ``docs`` that are in the languages by a share of ``least`` or more,
+    with all their columns; texts of several of the languages stay. Texts that are null
+    or have no letter go. Texts are read whole, however long; where nothing could be
     learned, texts with letters stay."""
-    broadcast = docs.sparkSession.sparkContext.broadcast(network)
+    broadcast = docs.sparkSession.sparkContext.broadcast(network and network.parts())
     place, width = docs.columns.index(text), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = broadcast.value and Network(*broadcast.value)
         for batch in batches:
             kept = batch.column(width).to_numpy(zero_copy_only=False).astype(bool)
-            if broadcast.value is not None:
+            if network is not None:
                 texts = [t or "" for t in batch.column(place).to_pylist()]
-                kept &= judged(broadcast.value, texts, kept)[1] >= least
+                kept &= judged(network, texts, kept)[2] >= least
             yield batch.select(list(range(width))).filter(pa.array(kept))
 
     return docs.select("*", _lettered(text).alias("_lettered_text_")).mapInArrow(run, docs.schema)

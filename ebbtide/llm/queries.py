@@ -50,7 +50,9 @@ FROM ranked
 """
 
 def held_out() -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    """Whether a document is kept from training; one without an id is not."""
+    kept = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    return F.coalesce(kept, F.lit(False))
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

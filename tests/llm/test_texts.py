@@ -37,9 +37,53 @@ def test_language(documents):
     assert sum(right) >= 0.97 * len(asked) and len(asked) > 30
     for i, text in enumerate(ODD, 240):
         assert (found[i] == ("und", 0.0)) == (not any(c.isalpha() for c in text or ""))
-    kept = language.confident(frame, network)
+    assert {r.doc_id for r in language.confident(frame, network).collect()} >= set(range(240))
+
+
+def test_texts_in_no_language_go(documents):
+    langs = {"aa": ["th", "an", "ou", "wi", "er"], "bb": ["sch", "ü", "ung", "ei", "ver"]}
+    texts = [t for i, parts in enumerate(langs.values()) for t in invented(i, parts, 120)]
+    both = [f"{a} {b}" for a, b in zip(texts[:5], texts[120:125], strict=True)]
+    maker = random.Random(6)
+    junk = ["".join(maker.choices("bcdfghjklmnpqrstvwxz ", k=300)) for _ in range(5)]
+    junk += ["<div class='x'><br/></div>" * 9, "日本語の文章です。これは試験です" * 5, "0x3f 12 99 {a:1};" * 9]
+    long = " ".join(texts[:120]) * 20
+    frame = documents(texts + both + junk + [long], langs=["aa"] * 120 + ["bb"] * 120 + [None] * 14)
+    kept = language.confident(frame, language.train(frame))
     assert kept.columns == frame.columns
-    assert {r.doc_id for r in kept.collect()} >= set(range(240))
+    assert {r.doc_id for r in kept.collect()} == {*range(245), 253}
+
+
+def looped(network, text):
+    """The shares of the languages, worked out place by place."""
+    data = text.lower().encode()
+    total = np.zeros(len(network.output_bias))
+    for start in range(0, len(data), language.WINDOW):
+        part = data[start : start + language.WINDOW]
+        window = part.ljust(language.WINDOW, b"\0") + b"\0" * (max(language.WIDTHS) - 1)
+        pooled = []
+        for k in range(network.filters.shape[1]):
+            width = language.WIDTHS[k // language.FILTERS]
+            best = -np.inf
+            for at in range(language.WINDOW):
+                seen = [v for b in window[at : at + width] for v in network.embedding[b]]
+                best = max(best, float(np.dot(seen, network.filters[: len(seen), k])))
+            pooled.append(max(0.0, best + network.bias[k]))
+        raised = np.exp(np.array(pooled) @ network.output + network.output_bias)
+        total += raised / raised.sum() * len(part)
+    return total / len(data)
+
+
+def test_shares_worked_out_place_by_place():
+    texts = invented(3, ["th", "an"], 10) + invented(4, ["sch", "ü"], 10)
+    network = language.fit(texts, ["x"] * 10 + ["y"] * 10)
+    asked = ["Than Schü" * 30, "a"]
+    names, scores, shares = language.judged(network, asked, np.ones(2, bool))
+    for i, text in enumerate(asked):
+        found = looped(network, text)
+        assert names[i] == ["x", "y"][int(found[:2].argmax())]
+        assert scores[i] == pytest.approx(found[:2].max(), abs=1e-4)
+        assert shares[i] == pytest.approx(found[:2].sum(), abs=1e-4)
 
 
 def test_language_without_labels_or_rows(documents):
