@@ -14,7 +14,6 @@ cut into blocks; what blocks cannot settle at once is looked at again in later r
 
 from __future__ import annotations
 
-import functools
 import itertools
 from collections import Counter
 from collections.abc import Iterator
@@ -43,8 +42,7 @@ MOST_BLOCK = 256
 HUBS = 64
 
 
-@functools.cache
-def _least_shared(most: int) -> np.ndarray:
+def shares_of_unions(most: int) -> np.ndarray:
     """For 0 to ``most`` numbers of a union, how many of them two similar sets share at
     least, but for a chance of ``MISS``."""
     p = PERCENT / 100
@@ -58,7 +56,7 @@ def _least_shared(most: int) -> np.ndarray:
 
 
 def least_shared(size: int) -> int:
-    return int(_least_shared(2 * RETAINED)[size])
+    return int(shares_of_unions(size)[size])
 
 
 def shingle_numbers(text: str, shingle: int = SHINGLE) -> np.ndarray:
@@ -209,19 +207,21 @@ def proposals(
     roles: np.ndarray,
     refused: set[tuple[bytes, bytes]],
     allowed: int,
+    least: np.ndarray,
 ) -> list[tuple[int, int, bool]]:
     """Pairs of members that may be similar and connect what is not connected, the most
     similar first; and whether they are for certain.
 
     Two parts of a forest are joined by up to ``allowed`` proposals. Members with role 0
-    are compared with those of role 1 only; those of role -1 with all.
+    are compared with those of role 1 only; those of role -1 with all. ``least`` is
+    the table of :func:`shares_of_unions`.
     """
     filled = np.array([len(s) for s in sketches])
     overlap = _overlaps(np.concatenate(sketches), filled)
     whole = filled == sizes
     both_whole = whole[:, None] & whole[None]
     union = _in_union(sketches, sizes, overlap)
-    likely = overlap >= _least_shared(2 * RETAINED)[np.minimum(union, 2 * RETAINED)]
+    likely = overlap >= least[np.minimum(union, len(least) - 1)]
     likely &= 100 * np.minimum(sizes[:, None], sizes) >= PERCENT * np.maximum(sizes[:, None], sizes)
     similar = np.where(both_whole, 100 * overlap >= PERCENT * union, likely)
     similar &= comps[:, None] != comps[None]
@@ -252,6 +252,7 @@ def proposals(
 
 def _propose(blocks: DataFrame, allowed: int) -> DataFrame:
     """``(v, a, b, certain)``: the proposals of all blocks."""
+    least = shares_of_unions(2 * RETAINED)
 
     def of_block(batch: pa.RecordBatch) -> list[tuple[int, bytes, bytes, bool]]:
         names = batch.column("node").to_pylist()
@@ -271,6 +272,7 @@ def _propose(blocks: DataFrame, allowed: int) -> DataFrame:
             batch.column("role").to_numpy(),
             refused,
             allowed,
+            least,
         )
         lists = batch.column("v").to_pylist()
         return [(lists[i], *sorted((names[i], names[j])), c) for i, j, c in found]

@@ -71,7 +71,6 @@ def corpus(seed):
 @pytest.mark.parametrize(("retained", "indexed", "block"), [(512, 32, 256), (64, 16, 12)])
 def test_near_groups(documents, monkeypatch, retained, indexed, block):
     monkeypatch.setattr(minhash, "RETAINED", retained)
-    minhash._least_shared.cache_clear()
     monkeypatch.setattr(minhash, "INDEXED", indexed)
     monkeypatch.setattr(minhash, "MOST_BLOCK", block)
     monkeypatch.setattr(minhash, "HUBS", block // 4)
@@ -124,11 +123,12 @@ def test_proposals_that_are_refused_make_way_for_others():
     base = np.arange(1000, 1600, dtype=np.uint64)
     sketches = [np.sort(np.concatenate([base, [np.uint64(i)]]))[:512] for i in (1, 2, 3)]
     sizes = np.array([601, 601, 601])
+    least = minhash.shares_of_unions(1024)
     names, roles = [b"a", b"b", b"c"], np.full(3, -1)
-    one = minhash.proposals(sketches, sizes, names, np.arange(3), roles, set(), 1)
+    one = minhash.proposals(sketches, sizes, names, np.arange(3), roles, set(), 1, least)
     assert len(one) == 2 and not any(c for _, _, c in one)
     refused = {(names[i], names[j]) for i, j, _ in one}
-    two = minhash.proposals(sketches, sizes, names, np.arange(3), roles, refused, 4)
+    two = minhash.proposals(sketches, sizes, names, np.arange(3), roles, refused, 4, least)
     assert len(two) == 1 and (names[two[0][0]], names[two[0][1]]) not in refused
 
 
