@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.shared import ship, stored
+from ebbtide.llm.shared import ship, stored, with_facts
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -22,18 +22,21 @@ def components(links: DataFrame) -> DataFrame:
     while not links.isEmpty():
         both = links.select("a", "b").union(links.select(F.col("b"), F.col("a")))
         least = both.groupBy("a").agg(F.min("b").alias("least"))
-        least = least.select("a", F.least("a", "least").alias("up"))
+        least = stored(least.select("a", F.least("a", "least").alias("up")), "least")
         above = least.select(F.col("a").alias("up"), F.col("up").alias("top"))
-        step = stored(least.join(above, "up").select("a", "top"), "contraction")
+        # Most nodes may point at one: such keys are dealt out.
+        step = with_facts(least, above, "up", "inner").select("a", "top")
+        step = stored(step, "contraction")
         if labels is None:
             labels = step.select(F.col("a").alias("node"), F.col("top").alias("root"))
         else:
-            moved = labels.join(step, labels["root"] == step["a"], "left")
+            moved = with_facts(labels, step.withColumnRenamed("a", "root"), "root")
             labels = moved.select("node", F.coalesce("top", "root").alias("root"))
         labels = stored(labels, "labels")
-        left = links.join(step, "a").select(F.col("top").alias("a"), "b")
-        step = step.withColumnsRenamed({"a": "b", "top": "to"})
-        left = left.join(step, "b").select("a", F.col("to").alias("b"))
+        left = with_facts(links, step, "a", "inner").select(F.col("top").alias("a"), "b")
+        left = stored(left, "half-links")
+        left = with_facts(left, step.withColumnRenamed("a", "b"), "b", "inner")
+        left = left.select("a", F.col("top").alias("b"))
         links = stored(left.where("a <> b").distinct(), "links")
     if labels is None:
         labels = links.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.graph import components
-from ebbtide.llm.shared import known, ship, stored, with_salted
+from ebbtide.llm.shared import known, ship, stored, with_facts, with_salted
 
 SHINGLE = 3
 DISTANCE = 3
@@ -251,9 +251,10 @@ def _grouped(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
+    rooted = stored(rooted, "rooted")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = with_salted(rooted, smallest, "root").select("fp", "root", "component_id")
-    return with_salted(rows, named, "fp").select("id", "fp", "sha", "root", "component_id")
+    named = with_facts(rooted, smallest, "root").select("fp", "root", "component_id")
+    return with_facts(rows, named, "fp").select("id", "fp", "sha", "root", "component_id")
 
 
 def one_of_each_group(
