@@ -40,6 +40,10 @@ MISS = 1e-9
 # Members of a block. Longer lists are cut.
 MOST_BLOCK = 256
 HUBS = 64
+# Times that inverted lists are merged with others of much the same members.
+MERGES = 2
+# A list is a family's if one component has one in so many of its members.
+FAMILY = 3
 
 
 def shares_of_unions(most: int) -> np.ndarray:
@@ -149,18 +153,47 @@ def _of_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return of_rows.groupBy("node").agg(F.max("n").alias("n"), F.first("sketch").alias("sketch"))
 
 
+def _judged(long: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(v, node, own, family)`` of the stored crowded lists ``(v, node, own, size)``,
+    merged; and whether a family of near copies has much of the list, as far as the
+    members beside the hubs tell."""
+    merged = long
+    for salt in range(MERGES):
+        merged = stored(_merged(merged, salt), "crowded-lists")
+    nodes = stored(merged.select("node").distinct(), "crowded-nodes")
+    blocks = _around_hubs(merged.withColumn("comp", F.col("node")))
+    blocks = blocks.join(stored(_of_nodes(rows, nodes), "crowded-facts"), "node")
+    blocks = blocks.withColumn("refused", F.lit(None).cast("array<binary>"))
+    roots = components(_propose(blocks, 1).select("a", "b"))
+    rooted = with_facts(merged, roots, "node").where("root IS NOT NULL")
+    parts = rooted.groupBy("v", "size", "root").agg(F.count("*").alias("rows"))
+    much = parts.where(FAMILY * F.col("rows") >= F.col("size")).select("v").distinct()
+    much = stored(much.withColumn("family", F.lit(True)), "family-lists")
+    judged = with_facts(merged, much, "v")
+    return judged.select("v", "node", "own", F.col("family").isNotNull().alias("family"))
+
+
 def _members(classes: DataFrame, rows: DataFrame) -> DataFrame:
     """``(v, size, node, own)``: the inverted lists. Of lists with the same members one is
-    kept."""
-    first = classes.select("node", "n", F.explode("first").alias("v"))
-    entries = stored(_entries(stored(first, "numbers"), INDEXED), "entries")
-    crowded = entries.where(F.col("df") > MOST_BLOCK).select("node").distinct()
-    crowded = stored(crowded, "crowded")
+    kept, and lists with much the same are merged.
+
+    Two documents that meet in a crowded list are compared in it if it is a family's, as
+    more numbers would make more lists of the same members. Otherwise both are listed
+    again by all numbers.
+    """
+    numbers = classes.select("node", "n", F.explode("first").alias("v"))
+    entries = stored(_entries(stored(numbers, "numbers"), INDEXED), "entries")
     lists = entries.where(F.col("df") <= MOST_BLOCK).select("v", "node", "own")
-    if not crowded.isEmpty():
-        every = _of_nodes(rows, crowded).select("node", "n", F.explode("sketch").alias("v"))
+    long = entries.where(F.col("df") > MOST_BLOCK).withColumnRenamed("df", "size")
+    long = stored(long, "crowded")
+    if not long.isEmpty():
+        judged = stored(_judged(long, rows), "judged-lists")
+        families = judged.where("family").select(F.xxhash64("v", F.lit(2)), "node", "own")
+        again = stored(judged.where("NOT family").select("node").distinct(), "listed-again")
+        every = _of_nodes(rows, again).select("node", "n", F.explode("sketch").alias("v"))
         every = _entries(stored(every, "all-numbers"), RETAINED)
-        lists = lists.union(every.select(F.xxhash64("v", F.lit(1)), "node", "own"))
+        every = every.select(F.xxhash64("v", F.lit(1)), "node", "own")
+        lists = lists.union(families).union(every)
     lists = stored(lists, "lists")
     sizes = lists.groupBy("v").agg(
         F.count("*").alias("size"),
@@ -170,7 +203,41 @@ def _members(classes: DataFrame, rows: DataFrame) -> DataFrame:
     sizes = stored(sizes, "list-sizes")
     chosen = sizes.where("size > 1").groupBy("size", "one", "two").agg(F.min("v").alias("v"))
     counted = sizes.select("v", F.col("size").alias("rows"))
-    return with_facts(lists, chosen.select("v", "size"), "v", "inner", sizes=counted)
+    members = with_facts(lists, chosen.select("v", "size"), "v", "inner", sizes=counted)
+    for salt in range(MERGES):
+        members = _merged(stored(members, "members"), salt)
+    return members
+
+
+def _merged(members: DataFrame, salt: int) -> DataFrame:
+    """Stored inverted lists with much the same members as one.
+
+    Two lists agree on the member with the least hash as often as they share members. Lists
+    that do are one list of all their members, unless that is longer than a block and than
+    twice the longest of them. No two members of a list part, and no row is added.
+    """
+    least = members.groupBy("v").agg(
+        F.max("size").alias("size"), F.min(F.xxhash64("node", F.lit(salt + 5))).alias("least")
+    )
+    least = stored(least, "least-members")
+    several = least.groupBy("least").agg(F.count("*").alias("lists")).where("lists > 1")
+    alike = least.join(several, "least", "left_semi").select("v", "least")
+    counted = least.select("v", F.col("size").alias("rows"))
+    alike = with_facts(members, stored(alike, "like-lists"), "v", "inner", sizes=counted)
+    unions = alike.groupBy("least", "node").agg(F.max("size").alias("longest"))
+    unions = unions.groupBy("least").agg(
+        F.count("*").alias("both"), F.max("longest").alias("longest")
+    )
+    short = F.col("both") <= F.greatest(F.lit(MOST_BLOCK), 2 * F.col("longest"))
+    unions = stored(unions.where(short).select("least", "both"), "unions")
+    named = least.join(unions, "least", "left").select(
+        "v",
+        F.when(F.col("both").isNull(), F.col("v")).otherwise(F.xxhash64("least")).alias("name"),
+        F.coalesce("both", "size").alias("all"),
+    )
+    whole = with_facts(members, stored(named, "list-names"), "v", "inner", sizes=counted)
+    whole = whole.groupBy("name", "node").agg(F.max("all").alias("size"), F.min("own").alias("own"))
+    return whole.select(F.col("name").alias("v"), "size", "node", "own")
 
 
 def _overlaps(sketches: np.ndarray, filled: np.ndarray) -> np.ndarray:

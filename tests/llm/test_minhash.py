@@ -150,3 +150,60 @@ def test_blocks_of_long_lists_meet(spark, monkeypatch):
                 assert frozenset((bytes([i]), bytes([j]))) in met
     hubs = minhash._around_hubs(members.where(F.col("size") > 8))
     assert hubs.select("node").distinct().count() == 40
+
+
+def test_lists_of_a_family_are_one(spark, monkeypatch):
+    """Lists that share most members are merged; no two members of a list part, and lists
+    that share one member only stay apart."""
+    monkeypatch.setattr(minhash, "MOST_BLOCK", 8)
+    family = [(v, i, v) for v in range(60) for i in range(40) if (i + v) % 8]
+    others = [(100 + v, i, 1) for v in range(20) for i in (1000, 2000 + 8 * v, 2001 + 8 * v)]
+    lists = {}
+    for v, i, _ in family + others:
+        lists.setdefault(v, set()).add(i.to_bytes(2, "big"))
+    rows = [
+        (v, len(lists[v]), i.to_bytes(2, "big"), own) for v, i, own in family + others
+    ]
+    members = spark.createDataFrame(rows, "v long, size long, node binary, own int")
+    for salt in range(minhash.MERGES):
+        members = shared.stored(minhash._merged(members, salt), "members")
+    merged = {}
+    for row in members.collect():
+        assert bytes(row.node) not in merged.setdefault((row.v, row.size), set())
+        merged[row.v, row.size].add(bytes(row.node))
+    assert all(size == len(found) for (_, size), found in merged.items())
+    assert all(any(own <= found for found in merged.values()) for own in lists.values())
+    assert members.count() < len(family) // 5 + len(others)
+    assert max(len(found) for found in merged.values()) <= 70
+
+
+def crowd(maker, members, shared, own, words):
+    """Texts that share a passage of most of their words, and else nothing."""
+    passage = maker.choices(words, k=shared)
+    return [" ".join(passage + maker.choices(words, k=own)) for _ in range(members)]
+
+
+def test_only_crowds_that_are_no_family_are_listed_by_all_numbers(documents, monkeypatch):
+    """Near copies meet in their crowded lists. Texts that share a passage of nearly half
+    their words are listed again by all numbers."""
+    monkeypatch.setattr(minhash, "INDEXED", 16)
+    monkeypatch.setattr(minhash, "MOST_BLOCK", 24)
+    monkeypatch.setattr(minhash, "HUBS", 6)
+    counts = {}
+
+    def counted(df, label):
+        out = shared.stored(df, label)
+        counts.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "stored", counted)
+    maker = random.Random(5)
+    words = [f"w{i}" for i in range(20000)]
+    family = crowd(maker, 60, 190, 5, words)
+    apart = crowd(maker, 60, 90, 110, words)
+    rows = list(enumerate(family + apart))
+    frame = documents([t for _, t in rows], [k for k, _ in rows])
+    got = [tuple(r) for r in minhash.near_groups(frame).collect()]
+    assert sorted(got, key=repr) == expected(rows)
+    assert 0 < counts["listed-again"][0] <= len(apart)
+    assert counts["all-numbers"][0] <= len(apart) * 197
